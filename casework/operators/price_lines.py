@@ -79,6 +79,7 @@ def price_case_lines(
     customers: DataFrame,
     settings: Settings = Settings(),
     stage: Stage = _no_stage,
+    lenient: bool = False,
 ) -> DataFrame:
     """Catalog facts of every case line; only customers of the newer platform.
 
@@ -86,7 +87,8 @@ def price_case_lines(
     cases. Everything that depends on (price source, item) only - cheapest
     contract, share, reference account flag - is put together per group first,
     so the lines are joined to it once. ``stage`` materialises the two inner
-    results that are read several times.
+    results that are read several times. A contract id that is no number
+    raises, or counts as 0 when ``lenient``.
     """
     groups = case_lines.select(*GROUP).filter(
         F.col("price_source").isNotNull() & F.col("item_e1_num").isNotNull()
@@ -109,7 +111,7 @@ def price_case_lines(
     reference_lines = lines.filter(F.col("price_source_pcca") == F.col("ship_to")).join(chosen, GROUP)
     connected = standard_account_connected(reference_lines, GROUP)
     per_group = chosen.join(share, ["price_source", "var_cst_cont"], "left").join(connected, GROUP, "left")
-    priced = split_contract_id(lines.join(per_group, GROUP, "left"), "var_cst_cont")
+    priced = split_contract_id(lines.join(per_group, GROUP, "left"), "var_cst_cont", lenient=lenient)
     accounts = customers.filter(F.col("sys_pltfrm") == PLATFORM_NEW).select(
         F.col("cust_e1_num").alias("ship_to"), "bus_pltfrm", "dim_cust_curr_id"
     ).distinct()
@@ -127,6 +129,7 @@ def price_case_lines_v2(
     tiers: DataFrame,
     customers: DataFrame,
     stage: Stage = _no_stage,
+    lenient: bool = False,
 ) -> DataFrame:
     """The alternative price lines.
 
@@ -134,7 +137,8 @@ def price_case_lines_v2(
     price source and item; the purchasing group's name is carried along; equal
     costs are decided by the competing list id too; lines of the older
     platform get contract number and tier -1; the reference account flag needs
-    a share; customers of every platform stay.
+    a share; customers of every platform stay. The placeholder ``*`` is a
+    contract here, so its number needs ``lenient``.
     """
     cases = case_lines.select(
         "acct_item_key", *_CASE_FIELDS,
@@ -186,7 +190,7 @@ def price_case_lines_v2(
     flag_key = F.when(F.col("has_share"), F.col("var_cst_cont"))
     flags = connected.withColumnRenamed("var_cst_cont", "flag_key")
     flagged = with_share.withColumn("flag_key", flag_key).join(flags, ["price_source_pcca", "flag_key"], "left")
-    split = split_contract_id(flagged, "var_cst_cont")
+    split = split_contract_id(flagged, "var_cst_cont", lenient=lenient)
     newer = F.col("sys_pltfrm") == PLATFORM_NEW
     missing = F.lit(-1).cast("long")
     numbered = split.withColumns(

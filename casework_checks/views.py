@@ -312,7 +312,7 @@ def _history_columns(d) -> dict[str, str]:
         "pool_num": pool,
         "case_cntr": number,
         "mmr_case": f"'9806' || {prefix} || {t(number)}",
-        "insrt_dt": d.add_days(_DAY, "-7 * (l_partkey % 20)"),
+        "insrt_dt": d.add_days(_DAY, "-7 * (" + d.div("l_partkey", "4") + " % 20)"),
         "pool_name": f"case when {m['team']} = 'NM' then null else 'Pool ' || {t('o_custkey % 25')} end",
     }
     return {**s, **extra}
@@ -330,6 +330,13 @@ def build_views(d) -> dict[str, View]:
     return {
         "status": View("lineitem", _status_columns(d), _LINE_JOINS),
         "history_wide": View("lineitem", _history_columns(d), _LINE_JOINS),
+        # One key per item, so a key has rows of many run dates.
+        "history_runs": View(
+            "lineitem",
+            _history_columns(d)
+            | {"acct_item_key": f"'I' || {t('l_partkey')}", "insrt_dt": "cast(l_shipdate as date)"},
+            _LINE_JOINS,
+        ),
         "history": View(
             "lineitem",
             {
