@@ -30,15 +30,17 @@ def recently_assigned(history: DataFrame, as_of: dt.date, days_by_team: dict[str
     return history.filter(since(max(days_by_team.values())) & any_team).select("acct_item_key")
 
 
-def excluded_keys(exclusions: DataFrame) -> DataFrame:
-    """Ship-to and item keys of the exclusion list; ship-to -1 is a placeholder."""
-    return (
-        exclusions.filter(F.col("ship_to") != -1)
-        .select(joined_text(F.col("ship_to"), F.col("item_e1_num")).alias("exclusion_key"))
-        .distinct()
+def _exclusion_keys(exclusions: DataFrame) -> DataFrame:
+    return exclusions.filter(F.col("ship_to") != -1).select(
+        joined_text(F.col("ship_to"), F.col("item_e1_num")).alias("exclusion_key")
     )
 
 
+def excluded_keys(exclusions: DataFrame) -> DataFrame:
+    """Distinct ship-to and item keys of the exclusion list; ship-to -1 is a placeholder."""
+    return _exclusion_keys(exclusions).distinct()
+
+
 def trace_key() -> Column:
     """Readable key of a line for tracing exclusions; other platforms have none."""
     legacy = joined_text(F.col("acct_or_bill_to"), F.col("sys_pltfrm"), F.col("item_as400_num"), "-", F.col("bl_date"))
@@ -76,5 +78,5 @@ def select_candidates(
             joined_text(F.col("ship_to"), F.col("item_e1_num")).alias("__exclusion_key"),
         )
     )
-    not_excluded = not_in(open_lines, "__exclusion_key", excluded_keys(exclusions)).drop("__exclusion_key")
+    not_excluded = not_in(open_lines, "__exclusion_key", _exclusion_keys(exclusions)).drop("__exclusion_key")
     return not_in(not_excluded, "acct_item_key", recently_assigned(history, as_of, settings.cool_down_days))

@@ -33,11 +33,18 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, ignore_null_keys: bool
     values = excluded.select(F.col(name).alias("__excluded"))
     if ignore_null_keys:
         values = values.filter(F.col("__excluded").isNotNull())
-    is_empty = values.agg((F.count(F.lit(1)) == 0).alias("e")).scalar()
-    has_null = values.agg(F.coalesce(F.bool_or(F.col("__excluded").isNull()), F.lit(False)).alias("n")).scalar()
+    # One aggregate gives both facts about the set; the two uses share its result.
+    facts = values.agg(
+        F.struct(
+            (F.count(F.lit(1)) == 0).alias("is_empty"),
+            F.coalesce(F.bool_or(F.col("__excluded").isNull()), F.lit(False)).alias("has_null"),
+        ).alias("facts")
+    ).scalar()
     distinct_values = values.filter(F.col("__excluded").isNotNull()).distinct()
     kept = df.join(distinct_values, F.col(key) == F.col("__excluded"), "left_anti")
-    return kept.filter(is_empty | (F.col(key).isNotNull() & ~has_null))
+    return kept.filter(
+        facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))
+    )
 
 
 def without_keys(df: DataFrame, key: str, taken: DataFrame) -> DataFrame:

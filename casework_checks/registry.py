@@ -137,13 +137,15 @@ POOLED = "acct_item_key pool_num highest_cust_name vendor_name pndg_mmr_opp"
 
 # The view of a table carries every column; the optimizer prunes joined tables'
 # columns but not the joins, so status queries name what they read.
+CANDIDATE_SOURCE = (
+    "acct_item_key bl_mfg_cont bl_trig_mfg_cont curr_mfg_cont item_e1_num item_as400_num bl_cost bl_trig_cost "
+    "curr_cost curr_qty bl_date curr_date pndg_mmr_opp mmr_type acct_or_bill_to ship_to highest_cust_name "
+    "vendor_name bus_pltfrm sys_pltfrm mstr_grp_num"
+).split()
+
+
 def _candidate_status(t: Tables) -> DataFrame:
-    return t.narrow(
-        "status", "acct_item_key", "bl_mfg_cont", "bl_trig_mfg_cont", "curr_mfg_cont", "item_e1_num",
-        "item_as400_num", "bl_cost", "bl_trig_cost", "curr_cost", "curr_qty", "bl_date", "curr_date",
-        "pndg_mmr_opp", "mmr_type", "acct_or_bill_to", "ship_to", "highest_cust_name", "vendor_name",
-        "bus_pltfrm", "sys_pltfrm", "mstr_grp_num",
-    )
+    return t.narrow("status", *CANDIDATE_SOURCE)
 
 
 def _candidates(t: Tables) -> DataFrame:
@@ -175,39 +177,52 @@ def _pool_cases(days: int, ignore: bool) -> Callable[[Tables], DataFrame]:
     return lambda t: pool_cases(_residual(t), t["history"], AS_OF, days, ignore)
 
 
-def _case_inputs(t: Tables) -> dict[str, DataFrame]:
-    return t.inputs() | {"status": _candidate_status(t)}
+def _case_inputs(t: Tables, staging: Staging, *columns: str) -> dict[str, DataFrame]:
+    """Inputs of the case steps; the two line tables, read many times, are written once."""
+    status = t.narrow("status", *columns) if columns else t["status"]
+    return t.inputs() | {
+        "status": staging.stage(status, "status"),
+        "ipc": staging.stage(t["ipc"], "ipc"),
+    }
 
 
 def _cases(settings: Settings) -> Callable[[Tables], DataFrame]:
     def build(t: Tables) -> DataFrame:
-        return assign_cases(_case_inputs(t), t["history"], AS_OF, settings, Staging(t.spark).stage)[0]
+        inputs = t.inputs() | {"status": _candidate_status(t)}
+        return assign_cases(inputs, t["history"], AS_OF, settings, Staging(t.spark).stage)[0]
 
     return build
 
 
-def _priced_cases(t: Tables, stage) -> DataFrame:
-    cases = assign_cases(_case_inputs(t), t["history"], AS_OF, ALL_TEAMS, stage)[0]
-    sources = t.narrow("status", "acct_item_key", "bl_trig_prc_src", "curr_prc_src", "curr_date", "bl_date", "item_e1_num")
-    return stage(price_lines.attach_price_source(case_number(cases, AS_OF), sources), "priced_cases")
+def _priced_cases(t: Tables, staging: Staging) -> tuple[dict[str, DataFrame], DataFrame]:
+    inputs = _case_inputs(t, staging, *CANDIDATE_SOURCE, "bl_trig_prc_src", "curr_prc_src")
+    cases = assign_cases(inputs, t["history"], AS_OF, ALL_TEAMS, staging.stage)[0]
+    priced = price_lines.attach_price_source(case_number(cases, AS_OF), inputs["status"])
+    return inputs, staging.stage(priced, "priced_cases")
 
 
 def _price_lines(t: Tables) -> DataFrame:
-    stage = Staging(t.spark).stage
+    staging = Staging(t.spark)
+    inputs, cases = _priced_cases(t, staging)
     return price_lines.price_case_lines(
-        t["ipc"], _priced_cases(t, stage), t["contract_tier"], t["customer"], stage=stage
+        inputs["ipc"], cases, t["contract_tier"], t["customer"], stage=staging.stage
     )
 
 
 def _price_lines_v2(t: Tables) -> DataFrame:
-    stage = Staging(t.spark).stage
+    staging = Staging(t.spark)
+    inputs, cases = _priced_cases(t, staging)
     return price_lines.price_case_lines_v2(
-        t["ipc"], _priced_cases(t, stage), t["contract_tier"], t["customer"], stage, lenient=True
+        inputs["ipc"], cases, t["contract_tier"], t["customer"], staging.stage, lenient=True
     )
 
 
 def _case_table(settings: Settings) -> Callable[[Tables], DataFrame]:
-    return lambda t: case_rows(t.inputs(), t["history"], AS_OF, settings, Staging(t.spark).stage)
+    def build(t: Tables) -> DataFrame:
+        staging = Staging(t.spark)
+        return case_rows(_case_inputs(t, staging), t["history"], AS_OF, settings, staging.stage)
+
+    return build
 
 
 def _maybe_taken(t: Tables) -> DataFrame:

@@ -75,13 +75,17 @@ _LINE_JOINS = ("orders", "customer", "part", "supplier")
 _DAY = "date '1998-06-30'"
 
 
+def _cents(x: str) -> str:
+    return f"cast(floor({x} * 100 + 0.5) as bigint)"
+
+
 def _line_terms(d) -> dict[str, str]:
     """Terms shared by the views over order lines."""
     t = d.text
     sys_ = "case when l_linestatus = 'O' then 'E1' else 'AS400' end"
     bus = "case when l_returnflag = 'R' then 'EC' else 'PC' end"
-    retail = "cast(round(p_retailprice * 100) as bigint)"
-    price = "cast(round(l_extendedprice * 100) as bigint)"
+    retail = _cents("p_retailprice")
+    price = _cents("l_extendedprice")
     return {
         "sys": sys_,
         "bus": bus,
@@ -91,8 +95,8 @@ def _line_terms(d) -> dict[str, str]:
         "price": price,
         "qty": "cast(l_quantity as bigint)",
         "unit": d.div(price, "cast(l_quantity as bigint)"),
-        "disc": "cast(round(l_discount * 100) as bigint)",
-        "tax": "cast(round(l_tax * 100) as bigint)",
+        "disc": _cents("l_discount"),
+        "tax": _cents("l_tax"),
         "src": f"case when l_partkey % 37 = 0 then null else 'PS' || {t('l_suppkey % 5')} end",
         "trig_src": f"'PS' || {t('(l_suppkey + 1) % 5')}",
         "catalog_src": f"'PS' || {t('l_suppkey % 5')}",
@@ -639,12 +643,21 @@ def _needed_joins(view: View, exprs: list[str]) -> list[str]:
     return [j for j in view.joins if j in used]
 
 
+def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer files than cores (the local samples).
+
+    An input of many files is read by many tasks anyway and is left alone.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 16) else df
+
+
 def spark_view(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """A view as a DataFrame; ``columns`` limits it to what a query reads."""
     view = build_views(SparkDialect)[name]
     integer = _integer_columns()
     picked = {c: e for c, e in view.columns.items() if columns is None or c in columns}
-    df = spark.read.parquet(f"{sf_dir}/{view.base}.parquet")
+    df = _spread(spark, spark.read.parquet(f"{sf_dir}/{view.base}.parquet"))
     for table in _needed_joins(view, list(picked.values())):
         left, right = _JOIN_KEYS[table]
         other = spark.read.parquet(f"{sf_dir}/{table}.parquet")
