@@ -215,17 +215,12 @@ def cheapest_contract_all(
         cheaper_side("cont_name", new_and_cheaper).alias("var_cst_cont_name"),
         cheaper_side("cont_type", new_and_cheaper).alias("var_cst_cont_type"),
     ).distinct()
-    at_minimum = (
-        offers.join(_group_minima(lines), ["price_source", "item", "mn_lpg_prca_cost"])
-        .join(suppliers, "item_e1_num", "left")
-        .drop("item_e1_num")
-        .distinct()
-    )
+    at_minimum = offers.join(_group_minima(lines), ["price_source", "item", "mn_lpg_prca_cost"])
     winners = first_rows(
         at_minimum,
         ["price_source", "item"],
         ["var_cst_cont", "var_cst_cont_id", "var_cst_cont_type", "var_cst_cont_name"],
-    )
+    ).join(suppliers, "item_e1_num", "left")
     live_tiers = tiers.filter(not_ended(F.col("cntrct_end_dt"), as_of)).select(
         joined_text(F.col("cntrct_num"), "-", F.col("tier_num")).alias("var_cst_cont_id"),
         F.col("cntrct_type_cd").alias("var_cst_cont_type"),

@@ -21,9 +21,15 @@ SALES_COLUMNS = ["sls_3_mth", "neg_sls_3_mth", "qty_3_mth", "cst_3_mth", "neg_cs
 
 
 def attach_sales(candidates: DataFrame, sales: DataFrame) -> DataFrame:
-    """Distinct 3-month sales, quantity and cost of the candidate keys."""
-    keys = candidates.select("acct_item_key").distinct()
-    return sales.select("acct_item_key", *SALES_COLUMNS).distinct().join(keys, "acct_item_key", "left_semi")
+    """Distinct 3-month sales, quantity and cost of the candidate keys.
+
+    The distinct comes after the semi join: it then works on the candidates'
+    rows only and reuses the join's partitioning by key.
+    """
+    mine = sales.select("acct_item_key", *SALES_COLUMNS).join(
+        candidates.select("acct_item_key"), "acct_item_key", "left_semi"
+    )
+    return mine.distinct()
 
 
 def exclusion_flag(lines: DataFrame, customers: DataFrame, eligibility: DataFrame, as_of: dt.date) -> DataFrame:
@@ -307,6 +313,6 @@ def class_of_trade(customers: DataFrame, accounts: DataFrame) -> DataFrame:
     mine = accounts.select(F.col("ship_to").alias("cust_e1_num")).distinct()
     return (
         customers.select(F.col("mms_sub_class_dsc").alias("cot"), "cust_e1_num")
-        .distinct()
         .join(mine, "cust_e1_num", "left_semi")
+        .distinct()
     )

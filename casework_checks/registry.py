@@ -59,7 +59,7 @@ from casework.settings import COOL_DOWN_DAYS, ExceptionSettings, Settings
 from casework.sources.schemas import HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS
 from casework.sources.staging import Staging
 from casework_checks import oracle
-from casework_checks.views import AS_OF, build_views, spark_view
+from casework_checks.views import AS_OF, SparkDialect, build_views, spark_view
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,20 +89,24 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = tune(spark), sf_dir
+        self._written: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         return spark_view(self.spark, self.sf_dir, name)
 
     def inputs(self) -> dict[str, DataFrame]:
-        return {name: self[name] for name in build_views(_ANY_DIALECT) if not name.startswith("history")}
+        return {name: self[name] for name in build_views(SparkDialect) if not name.startswith("history")}
+
+    def written(self, name: str) -> DataFrame:
+        """A view read several times by one query, written once."""
+        if name not in self._written:
+            self._written[name] = Staging(self.spark).stage(self[name], name)
+        return self._written[name]
 
     def narrow(self, name: str, *columns: str) -> DataFrame:
         return spark_view(self.spark, self.sf_dir, name, list(columns))
 
 
-from casework_checks.views import SparkDialect as _ANY_DIALECT  # noqa: E402
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as double, whole numbers as bigint, so both engines compare alike."""
 
@@ -283,7 +287,7 @@ def _split(t: Tables) -> DataFrame:
 
 
 def _cheapest_all(t: Tables) -> DataFrame:
-    return catalog.cheapest_contract_all(t["ipc"], t["item"], t["contract_tier"], t["gpo"], AS_OF)
+    return catalog.cheapest_contract_all(t.written("ipc"), t["item"], t["contract_tier"], t["gpo"], AS_OF)
 
 
 def _gpo_contracts(t: Tables) -> DataFrame:
@@ -292,13 +296,13 @@ def _gpo_contracts(t: Tables) -> DataFrame:
 
 def _gpo_items(t: Tables) -> DataFrame:
     return exceptions.gpo_items(
-        t["gpo"], t["contract_tier"], t["contract_item"], t["item"], t["ipc"], CHECK_RULES.focus_gpo_num, AS_OF
+        t["gpo"], t["contract_tier"], t["contract_item"], t["item"], t.written("ipc"), CHECK_RULES.focus_gpo_num, AS_OF
     )
 
 
 def _exception_base(t: Tables) -> DataFrame:
     return exceptions.exception_base(
-        t["ipc"], t["item"], t["customer_restriction"], _cheapest_all(t), _gpo_contracts(t), _gpo_items(t),
+        t.written("ipc"), t["item"], t["customer_restriction"], _cheapest_all(t), _gpo_contracts(t), _gpo_items(t),
         t["hierarchy"],
     )
 
