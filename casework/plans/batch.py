@@ -167,7 +167,10 @@ def run_batch(
             log(staged, name, LOGGED_STEPS[name])
         return staged
 
+    # Rows of the run date are left out, so a rerun sees what the first attempt
+    # saw and replaces its rows. Undated rows never count as recent.
     history = empty_history(spark) if first_run else read_history(spark, history_path)
+    history = history.filter(F.col("insrt_dt") < F.lit(as_of))
     rows = staging.stage(case_rows(inputs, history, as_of, settings, stage), "case_rows")
     append_history(rows, history_path)
     today = read_history(spark, history_path).filter(F.col("insrt_dt") == F.lit(as_of))

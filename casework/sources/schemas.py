@@ -173,6 +173,12 @@ ALLOWED_VALUES = {
 }
 
 
+_SPARK_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "double": T.DoubleType(), _MONEY: T.DecimalType(18, 4), _AMOUNT: T.DecimalType(26, 6), _SHARE: T.DecimalType(9, 4),
+}
+
+
 def struct(columns: dict[str, str]) -> T.StructType:
     """Spark schema of a column -> type mapping."""
-    return T.StructType([T.StructField(c, T.DataType.fromDDL(t), True) for c, t in columns.items()])
+    return T.StructType([T.StructField(c, _SPARK_TYPES[t], True) for c, t in columns.items()])
