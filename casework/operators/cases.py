@@ -98,12 +98,21 @@ def pool_cases(
 
 
 def top_customer_vendor_cases(residual: DataFrame, sales: DataFrame, n: int = 10) -> DataFrame:
-    """Lines of the ``n`` customer and vendor pairs with the largest sales at a loss."""
-    without_pool = residual.filter(F.col("pool_num").isNull())
-    losses = sales.filter(F.col("neg_sls_3_mth") > 0).select("acct_item_key", "neg_sls_3_mth")
+    """Lines of the ``n`` customer and vendor pairs with the largest sales at a loss.
+
+    Every line counts every sales row of its key. Both sides are summed per
+    key before they meet, so repeated keys do not multiply in the join.
+    """
     pair = ["highest_cust_name", "vendor_name"]
-    totals = without_pool.join(losses, "acct_item_key").groupBy(*pair).agg(
-        F.sum("neg_sls_3_mth").alias("neg_sls_3_mth")
+    without_pool = residual.filter(F.col("pool_num").isNull())
+    lines = without_pool.groupBy("acct_item_key", *pair).agg(F.count(F.lit(1)).alias("n_lines"))
+    losses = (
+        sales.filter(F.col("neg_sls_3_mth") > 0).groupBy("acct_item_key").agg(F.sum("neg_sls_3_mth").alias("loss"))
+    )
+    totals = (
+        lines.join(losses, "acct_item_key")
+        .groupBy(*pair)
+        .agg(F.sum(F.col("loss") * F.col("n_lines")).alias("neg_sls_3_mth"))
     )
     top = numbered_top(totals, "neg_sls_3_mth", n, pair, "case_cntr").select(*pair, "case_cntr")
     return (
