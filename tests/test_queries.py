@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as driver
@@ -16,9 +18,31 @@ def engine():
     return check.engine(SF)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they would be on inputs too large for a broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_plan(df):
+    """No cross join, no Python, and no group gathered in a window.
+
+    Numbering a top-n is the one window allowed: it runs after the limit.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "MapInPandas"):
+        assert unwanted not in plan
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if re.search(r"[-+] Window \[", line) or line.strip().startswith("Window ["):
+            assert any("TakeOrderedAndProject" in later or "Limit" in later for later in lines[i : i + 6])
+
+
 @pytest.mark.parametrize("name", list(ENTRIES))
-def test_query_equals_sql(spark, engine, name):
-    agreed, text = check.compare(spark, engine, name, SF)
+def test_query_equals_sql(spark, engine, no_broadcast, name):
+    agreed, text = check.compare(spark, engine, name, SF, check_plan)
     assert agreed, text
 
 
