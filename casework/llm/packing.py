@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from casework.llm.common import running_totals, ship, stage
 from casework.llm.tokens import encoder
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _bucket int"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @dataclass(frozen=True)
@@ -74,10 +74,10 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: Capacity, doc_id="d
                 ids = encode_text(content.as_py() or "") + end
                 for k, (start, length) in enumerate(piece_bounds(len(ids) // 4, capacity.tokens)):
                     crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + length)])
-                    rows.append((doc, k, start, length, crc, crc % capacity.buckets))
+                    rows.append((doc, k, start, length, crc))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, type=t) for c, t in zip(list(zip(*rows)) or [[]] * 6, _TYPES, strict=True)],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "_bucket"],
+                [pa.array(c, type=t) for c, t in zip(list(zip(*rows)) or [[]] * 5, _TYPES, strict=True)],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"],
             )
 
     ship(docs.sparkSession)
@@ -85,7 +85,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: Capacity, doc_id="d
     return read.mapInArrow(encode, PIECES)
 
 
-_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
 
 class _Open:
@@ -174,7 +174,10 @@ def place(counts: dict[int, int], capacity: Capacity) -> dict[int, list[tuple[in
 
 def pack(docs: DataFrame, vocabulary: str, capacity: Capacity = Capacity()) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = stage(token_pieces(docs, vocabulary, capacity), "pack_pieces")
+    # Rows are dealt to buckets by their place in the table, so that copies and repeated
+    # rows spread too; the staged table fixes the place.
+    bucket = F.pmod(F.monotonically_increasing_id(), F.lit(capacity.buckets)).cast("int")
+    pieces = stage(token_pieces(docs, vocabulary, capacity).withColumn("_bucket", bucket), "pack_pieces")
     # At most one row per length from 1 to the sequence's tokens.
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = {
