@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casework.functions import joined_text, year_month_day
-from casework.functions.dates import newer_than
-from casework.operators.relational import bounded, not_in, numbered_top, without_keys
+from casework.functions.dates import recent_rows
+from casework.operators.relational import not_in, numbered_top, without_keys
 from casework.settings import (
     COST_INCREASE_TYPES,
     PLATFORM_NEW,
@@ -55,7 +55,7 @@ def top_contract_cases(lines: DataFrame, n: int = 100, min_impact: dict[str, flo
     top = numbered_top(
         contract_totals(lines, min_impact), "sum_opp", n, ["bl_mfg_cont", "bus_pltfrm"], "case_cntr"
     ).select("bl_mfg_cont", "bus_pltfrm", "case_cntr")
-    return lines.join(bounded(top, n), ["bl_mfg_cont", "bus_pltfrm"]).select(
+    return lines.join(top, ["bl_mfg_cont", "bus_pltfrm"]).select(
         "acct_item_key",
         F.lit(PREFIX_CONTRACT).alias("case_prefix"),
         "case_cntr",
@@ -86,7 +86,7 @@ def pool_cases(
     History rows without a pool make the SQL ``NOT IN`` unknown for every
     pool; ``ignore_null_keys`` leaves them out.
     """
-    recent = history.filter(newer_than(F.col("insrt_dt"), as_of, days)).select("pool_num")
+    recent = recent_rows(history, as_of, days).select("pool_num")
     pooled = residual.filter(F.col("pool_num").isNotNull())
     return not_in(pooled, "pool_num", recent, ignore_null_keys).select(
         "acct_item_key",
@@ -117,7 +117,7 @@ def top_customer_vendor_cases(residual: DataFrame, sales: DataFrame, n: int = 10
     top = numbered_top(totals, "neg_sls_3_mth", n, pair, "case_cntr").select(*pair, "case_cntr")
     return (
         without_pool.filter(F.col("pndg_mmr_opp") > 0)
-        .join(bounded(top, n), pair)
+        .join(top, pair)
         .select(
             "acct_item_key",
             F.lit(PREFIX_VENDOR).alias("case_prefix"),

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from casework.functions import null_ranked
 
-# A frame is broadcast by hint only below this row bound; everything else is
-# left to the size-checked choice of the optimizer.
-_BROADCAST_ROW_BOUND = 10_000
-
 
 def not_in(df: DataFrame, key: str, excluded: DataFrame, ignore_null_keys: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``key`` is ``NOT IN`` the one-column frame ``excluded``.
@@ -26,22 +22,24 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, ignore_null_keys: bool
     row; a null key is rejected unless the excluded set is empty.
     ``ignore_null_keys`` drops nulls from the excluded set first.
 
-    Written as an ordinary anti join plus two scalar aggregates, so neither
-    side has to fit a broadcast.
+    Written as an ordinary anti join plus one scalar aggregate, so neither
+    side has to fit a broadcast. Both read the set's distinct values, null
+    among them, so its one shuffle serves both.
     """
     name = excluded.columns[0]
     values = excluded.select(F.col(name).alias("__excluded"))
     if ignore_null_keys:
         values = values.filter(F.col("__excluded").isNotNull())
-    # One aggregate gives both facts about the set; the two uses share its result.
+    values = values.distinct()
     facts = values.agg(
         F.struct(
             (F.count(F.lit(1)) == 0).alias("is_empty"),
             F.coalesce(F.bool_or(F.col("__excluded").isNull()), F.lit(False)).alias("has_null"),
         ).alias("facts")
     ).scalar()
-    distinct_values = values.filter(F.col("__excluded").isNotNull()).distinct()
-    kept = df.join(distinct_values, F.col(key) == F.col("__excluded"), "left_anti")
+    # Null-safe, so that no null filter is pushed below the shared part; a row it
+    # drops for its null key is rejected by the filter anyway.
+    kept = df.join(values, F.col(key).eqNullSafe(F.col("__excluded")), "left_anti")
     return kept.filter(
         facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))
     )
@@ -114,13 +112,9 @@ def numbered_top(df: DataFrame, measure: str, n: int, tie_break: Sequence[str],
     """The ``n`` largest rows by ``measure``, numbered 1..n in that order.
 
     ``tie_break`` columns make the choice deterministic. The numbering window
-    runs after the limit, so its single partition holds at most ``n`` rows.
+    runs after the limit, so its single partition holds at most ``n`` rows;
+    ``n`` is a number of cases to work on, not of data.
     """
     order = [F.col(measure).desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in tie_break]]
     top = df.orderBy(*order).limit(n)
     return top.withColumn(number, F.row_number().over(Window.orderBy(*order)).cast("long"))
-
-
-def bounded(df: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast for a frame known to hold at most ``rows`` rows."""
-    return F.broadcast(df) if rows <= _BROADCAST_ROW_BOUND else df

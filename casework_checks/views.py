@@ -212,7 +212,10 @@ def _status_columns(d) -> dict[str, str]:
         "bl_margin_perc": _money(f"{disc} + 10"),
         "bl_trig_margin_perc": _money(f"{disc} + 11"),
         "curr_margin_perc": f"case when l_linenumber = 3 then null else {_money(f'{disc} + 12')} end",
-        "bl_mfg_cont": "case when l_partkey % 29 = 0 then null when l_partkey % 31 = 0 then 'MCKB-NEG-LD' else p_brand end",
+        "bl_mfg_cont": (
+            "case when l_partkey % 29 = 0 then null when l_partkey % 31 = 0 then 'MCKB-NEG-LD' "
+            f"when l_partkey % 8 = 0 then p_brand else p_brand || '/' || {t('l_partkey % 8')} end"
+        ),
         "bl_trig_mfg_cont": f"'Brand#' || {t('(l_suppkey + 1) % 25 + 1')}",
         "curr_mfg_cont": f"case when l_suppkey % 41 = 0 then null else 'Brand#' || {t('l_suppkey % 25 + 1')} end",
         "bl_mfg_cont_name": "'Contract of ' || p_brand",
@@ -355,11 +358,10 @@ def build_views(d) -> dict[str, View]:
         "exclusions": View(
             "lineitem",
             {
-                "ship_to": "case when l_partkey % 50 = 0 then -1 else o_custkey end",
+                "ship_to": f"case when l_partkey % 50 = 0 or {disc} <> 10 then -1 else o_custkey end",
                 "item_e1_num": "case when l_partkey % 47 = 0 then null else l_partkey end",
             },
             ("orders",),
-            where=f"{disc} = 10",
         ),
         "weekly_txn": View(
             "lineitem",
@@ -477,9 +479,11 @@ def build_views(d) -> dict[str, View]:
                 "dim_cust_curr_id": "(o_custkey - o_custkey % 3) * 10 + 1",
                 "dim_pool_id": "o_orderkey % 25",
                 "cust_pool_start_dt": "case when o_orderkey % 41 = 0 then null else cast(o_orderdate as date) end",
-                "cust_pool_end_dt": d.add_days("cast(o_orderdate as date)", 365),
+                "cust_pool_end_dt": (
+                    "case when o_orderstatus = 'P' and cast(o_orderdate as date) <= date '1998-06-30' "
+                    f"then {d.add_days('cast(o_orderdate as date)', 365)} else date '1998-06-01' end"
+                ),
             },
-            where="o_orderstatus = 'P' and cast(o_orderdate as date) <= date '1998-06-30'",
         ),
         "pool": View(
             "nation",
@@ -596,7 +600,10 @@ def build_views(d) -> dict[str, View]:
         "address_alternate": View(
             "customer",
             {
-                "atan8": "c_custkey",
+                "atan8": (
+                    "case when c_mktsegment = 'MACHINERY' or c_mktsegment = 'FURNITURE' then c_custkey "
+                    "else -c_custkey end"
+                ),
                 "atadd1": "c_name",
                 "atadd2": "'Gate'",
                 "atadd3": null_text,
@@ -605,16 +612,16 @@ def build_views(d) -> dict[str, View]:
                 "atadds": f"'S' || {t('c_nationkey % 5')}",
                 "ataddz": t("30000 + c_nationkey"),
             },
-            where="c_mktsegment = 'MACHINERY' or c_mktsegment = 'FURNITURE'",
         ),
         "hierarchy": View(
             "supplier",
             {
-                "man_con_id": _contract_text(d, "(s_suppkey % 37)"),
+                "man_con_id": (
+                    f"case when (s_suppkey % 37) % 4 > 0 then {_contract_text(d, '(s_suppkey % 37)')} end"
+                ),
                 "mck_con_id": "1000 + s_suppkey % 37",
                 "hierarchy": "(s_suppkey % 37) % 3 + 1",
             },
-            where="(s_suppkey % 37) % 4 > 0",
             distinct=True,
         ),
     }
@@ -643,21 +650,12 @@ def _needed_joins(view: View, exprs: list[str]) -> list[str]:
     return [j for j in view.joins if j in used]
 
 
-def _spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Use all cores on an input of fewer files than cores (the local samples).
-
-    An input of many files is read by many tasks anyway and is left alone.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < min(cores, 16) else df
-
-
 def spark_view(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """A view as a DataFrame; ``columns`` limits it to what a query reads."""
     view = build_views(SparkDialect)[name]
     integer = _integer_columns()
     picked = {c: e for c, e in view.columns.items() if columns is None or c in columns}
-    df = _spread(spark, spark.read.parquet(f"{sf_dir}/{view.base}.parquet"))
+    df = spark.read.parquet(f"{sf_dir}/{view.base}.parquet")
     for table in _needed_joins(view, list(picked.values())):
         left, right = _JOIN_KEYS[table]
         other = spark.read.parquet(f"{sf_dir}/{table}.parquet")
