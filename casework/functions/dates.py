@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,16 @@ def newer_than(day: Column, as_of: dt.date, days: int) -> Column:
     return day > F.lit(as_of - dt.timedelta(days=days))
 
 
+def recent_rows(history: DataFrame, as_of: dt.date, days: int) -> DataFrame:
+    """History rows whose insert date lies within the last ``days`` days.
+
+    A row's insert date is its run's day or null, so the same bound on the run
+    date, where the table has it, prunes the partitions.
+    """
+    rows = history.filter(newer_than(F.col("insrt_dt"), as_of, days))
+    return rows.filter(newer_than(F.col("run_date"), as_of, days)) if "run_date" in history.columns else rows
+
+
 def year_month_day(day: Column) -> Column:
     return F.date_format(day, "yyMMdd")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casework.functions import joined_text
+from casework.functions.dates import recent_rows
 from casework.operators.relational import not_in
 from casework.operators.status import cost_impact, resolved
 from casework.settings import PLATFORM_LEGACY, PLATFORM_NEW, Settings
@@ -27,7 +28,8 @@ def recently_assigned(history: DataFrame, as_of: dt.date, days_by_team: dict[str
         return history.select("acct_item_key").limit(0)
     per_team = [(F.col("team_assigned") == team) & since(days) for team, days in days_by_team.items()]
     any_team = reduce(lambda a, b: a | b, per_team)
-    return history.filter(since(max(days_by_team.values())) & any_team).select("acct_item_key")
+    widest = max(days_by_team.values())
+    return recent_rows(history, as_of, widest).filter(any_team).select("acct_item_key")
 
 
 def _exclusion_keys(exclusions: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -158,24 +158,59 @@ def _platform_item() -> Column:
     )
 
 
-def _group_minima(lines: DataFrame) -> DataFrame:
+OFFER = ["var_cst_cont", "var_cst_cont_id", "var_cst_cont_name", "var_cst_cont_type"]
+
+
+def catalog_offers(ipc: DataFrame) -> DataFrame:
+    """Distinct variable-cost offers of the catalog with the two minima of their lines.
+
+    The one pass over the catalog: everything about the cheapest contract of
+    both platforms follows from this frame.
+    """
+    new_and_cheaper = (F.col("sys_pltfrm") == PLATFORM_NEW) & pricing_is_cheaper()
+    strict = least_strict(F.col("comp_cost_initial"), F.col("pricing_cost_initial"))
+    cost = F.when(F.col("sys_pltfrm") == PLATFORM_NEW, strict).otherwise(F.col("comp_cost_initial"))
+    return (
+        ipc.filter(F.col("var_cost") == "Y")
+        .select(
+            "price_source",
+            "item_e1_num",
+            "item_as400_num",
+            "sys_pltfrm",
+            _platform_item().alias("item"),
+            cost.alias("mn_lpg_prca_cost"),
+            cheaper_side("cont_id", new_and_cheaper).alias("var_cst_cont"),
+            cheaper_side("list_id", new_and_cheaper).alias("var_cst_cont_id"),
+            cheaper_side("cont_name", new_and_cheaper).alias("var_cst_cont_name"),
+            cheaper_side("cont_type", new_and_cheaper).alias("var_cst_cont_type"),
+            F.col("comp_cost_initial").alias("least_comp"),
+            strict.alias("least_cost"),
+        )
+        .groupBy(
+            "price_source", "item_e1_num", "item_as400_num", "sys_pltfrm", "item", "mn_lpg_prca_cost", *OFFER
+        )
+        .agg(F.min("least_comp").alias("least_comp"), F.min("least_cost").alias("least_cost"))
+    )
+
+
+def _group_minima(offers: DataFrame) -> DataFrame:
     """Smallest cost per (price source, item text) of both platforms.
 
     Each minimum runs over every line of the group, whatever its platform; a
     group counts for the platforms that have a line in it.
     """
     legacy = (
-        lines.groupBy("price_source", "item_as400_num")
+        offers.groupBy("price_source", "item_as400_num")
         .agg(
-            F.min("comp_cost_initial").alias("mn_lpg_prca_cost"),
+            F.min("least_comp").alias("mn_lpg_prca_cost"),
             F.bool_or(F.col("sys_pltfrm") == PLATFORM_LEGACY).alias("present"),
         )
         .withColumnRenamed("item_as400_num", "item")
     )
     new = (
-        lines.groupBy("price_source", "item_e1_num")
+        offers.groupBy("price_source", "item_e1_num")
         .agg(
-            F.min(least_strict(F.col("comp_cost_initial"), F.col("pricing_cost_initial"))).alias("mn_lpg_prca_cost"),
+            F.min("least_cost").alias("mn_lpg_prca_cost"),
             F.bool_or(F.col("sys_pltfrm") == PLATFORM_NEW).alias("present"),
         )
         .withColumn("item", F.col("item_e1_num").cast("string"))
@@ -190,32 +225,28 @@ def _group_minima(lines: DataFrame) -> DataFrame:
 
 
 def cheapest_contract_all(
-    ipc: DataFrame, items: DataFrame, tiers: DataFrame, gpos: DataFrame, as_of: dt.date
+    ipc: DataFrame,
+    items: DataFrame,
+    tiers: DataFrame,
+    gpos: DataFrame,
+    as_of: dt.date,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> DataFrame:
     """Cheapest contract per (price source, item) of the whole catalog, both platforms.
 
     The legacy platform uses the competing cost and its own item number. The
     contract's purchasing group is added where contract and group have not
-    ended. Rows are distinct.
+    ended. Rows are distinct. ``stage`` writes the two derived frames that are
+    read several times, so that the catalog is scanned once.
     """
-    lines = ipc.filter(F.col("var_cost") == "Y")
-    new_and_cheaper = (F.col("sys_pltfrm") == PLATFORM_NEW) & pricing_is_cheaper()
-    cost = F.when(
-        F.col("sys_pltfrm") == PLATFORM_NEW,
-        least_strict(F.col("comp_cost_initial"), F.col("pricing_cost_initial")),
-    ).otherwise(F.col("comp_cost_initial"))
     suppliers = items.select("item_e1_num", "parnt_suplr_num").distinct()
-    offers = lines.select(
-        "price_source",
-        "item_e1_num",
-        _platform_item().alias("item"),
-        cost.alias("mn_lpg_prca_cost"),
-        cheaper_side("cont_id", new_and_cheaper).alias("var_cst_cont"),
-        cheaper_side("list_id", new_and_cheaper).alias("var_cst_cont_id"),
-        cheaper_side("cont_name", new_and_cheaper).alias("var_cst_cont_name"),
-        cheaper_side("cont_type", new_and_cheaper).alias("var_cst_cont_type"),
-    ).distinct()
-    at_minimum = offers.join(_group_minima(lines), ["price_source", "item", "mn_lpg_prca_cost"])
+    offers = stage(catalog_offers(ipc), "catalog_offers")
+    at_minimum = stage(
+        offers.select("price_source", "item", "mn_lpg_prca_cost", "item_e1_num", *OFFER)
+        .join(_group_minima(offers), ["price_source", "item", "mn_lpg_prca_cost"])
+        .distinct(),
+        "cheapest_offers",
+    )
     winners = first_rows(
         at_minimum,
         ["price_source", "item"],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casework.functions import joined_text
@@ -72,6 +72,35 @@ def _tier_ids(tiers: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _with_tier(contracts: DataFrame, tiers: DataFrame, lenient: bool) -> DataFrame:
+    """Contract number, tier and tier id of frames that have one row per contract offer.
+
+    Joined here, before the lines come in: as many rows as groups, and no line
+    without a contract meets the dimension on a shared placeholder key.
+    """
+    split = split_contract_id(contracts, "var_cst_cont", lenient=lenient)
+    return split.join(_tier_ids(tiers), ["var_mck_cont_id", "var_mck_cont_tier"], "left")
+
+
+def _tier_ids_of(tiers: DataFrame, number: int) -> Column:
+    """The tier ids that the dimension has under a placeholder number and tier, looked up once."""
+    ids = _tier_ids(tiers).filter((F.col("var_mck_cont_id") == number) & (F.col("var_mck_cont_tier") == number))
+    return ids.agg(F.collect_set("vrcst_cntrct_tier_id")).scalar()
+
+
+def _placeholder(lines: DataFrame, condition: Column, number: int, ids: Column) -> DataFrame:
+    """Number, tier and tier ids of a placeholder for the lines that meet the condition."""
+    fixed = F.lit(number).cast("long")
+    tier_ids = F.when(condition, ids).otherwise(F.array("vrcst_cntrct_tier_id"))
+    return lines.withColumns(
+        {
+            "var_mck_cont_id": F.when(condition, fixed).otherwise(F.col("var_mck_cont_id")),
+            "var_mck_cont_tier": F.when(condition, fixed).otherwise(F.col("var_mck_cont_tier")),
+            "__tier_ids": tier_ids,
+        }
+    ).withColumn("vrcst_cntrct_tier_id", F.explode_outer("__tier_ids")).drop("__tier_ids")
+
+
 def price_case_lines(
     ipc: DataFrame,
     case_lines: DataFrame,
@@ -111,13 +140,13 @@ def price_case_lines(
     reference_lines = lines.filter(F.col("price_source_pcca") == F.col("ship_to")).join(chosen, GROUP)
     connected = standard_account_connected(reference_lines, GROUP)
     per_group = chosen.join(share, ["price_source", "var_cst_cont"], "left").join(connected, GROUP, "left")
-    priced = split_contract_id(lines.join(per_group, GROUP, "left"), "var_cst_cont", lenient=lenient)
+    with_contract = lines.join(_with_tier(per_group, tiers, lenient), GROUP, "left")
+    priced = _placeholder(with_contract, F.col("var_cst_cont").isNull(), 0, _tier_ids_of(tiers, 0))
     accounts = customers.filter(F.col("sys_pltfrm") == PLATFORM_NEW).select(
         F.col("cust_e1_num").alias("ship_to"), "bus_pltfrm", "dim_cust_curr_id"
     ).distinct()
     return (
-        priced.join(_tier_ids(tiers), ["var_mck_cont_id", "var_mck_cont_tier"], "left")
-        .join(accounts, ["ship_to", "bus_pltfrm"])
+        priced.join(accounts, ["ship_to", "bus_pltfrm"])
         .select(*PRICE_LINE_COLUMNS)
         .distinct()
     )
@@ -182,7 +211,8 @@ def price_case_lines_v2(
         )
         .distinct()
     )
-    priced = stage(lines.drop("vrcst_gpo_name").join(winners, "group_key", "left"), "priced_v2")
+    offered = lines.drop("vrcst_gpo_name").join(_with_tier(winners, tiers, lenient), "group_key", "left")
+    priced = stage(offered, "priced_v2")
     share = connected_share(ipc, priced.select(*GROUP, "var_cst_cont"), PLATFORM_NEW)
     connected = standard_account_connected(priced, ["price_source_pcca", "var_cst_cont"])
     with_share = priced.join(share.withColumn("has_share", F.lit(True)), ["price_source", "var_cst_cont"], "left")
@@ -190,21 +220,15 @@ def price_case_lines_v2(
     flag_key = F.when(F.col("has_share"), F.col("var_cst_cont"))
     flags = connected.withColumnRenamed("var_cst_cont", "flag_key")
     flagged = with_share.withColumn("flag_key", flag_key).join(flags, ["price_source_pcca", "flag_key"], "left")
-    split = split_contract_id(flagged, "var_cst_cont", lenient=lenient)
-    newer = F.col("sys_pltfrm") == PLATFORM_NEW
-    missing = F.lit(-1).cast("long")
-    numbered = split.withColumns(
-        {
-            c: F.when(newer, F.col(c)).otherwise(missing)
-            for c in ("var_mck_cont_id", "var_mck_cont_tier")
-        }
-    )
+    older = ~F.coalesce(F.col("sys_pltfrm") == PLATFORM_NEW, F.lit(False))
+    without = ~older & F.col("var_cst_cont").isNull()
+    numbered = _placeholder(flagged, without, 0, _tier_ids_of(tiers, 0))
+    numbered = _placeholder(numbered, older, -1, _tier_ids_of(tiers, -1))
     accounts = customers.select(
         F.col("cust_e1_num").alias("ship_to"), "bus_pltfrm", "sys_pltfrm", "dim_cust_curr_id"
     ).distinct()
     return (
-        numbered.join(_tier_ids(tiers), ["var_mck_cont_id", "var_mck_cont_tier"], "left")
-        .join(accounts, ["ship_to", "bus_pltfrm", "sys_pltfrm"], "left")
+        numbered.join(accounts, ["ship_to", "bus_pltfrm", "sys_pltfrm"], "left")
         .select(*PRICE_LINE_V2_COLUMNS)
         .distinct()
     )

@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casework.functions.dates import newer_than
+from casework.functions.dates import recent_rows
 from casework.operators.status import increase_type
 from casework.settings import (
     ACQUISITION_TYPES,
@@ -133,10 +133,13 @@ class Report:
     def with_(self, **changes) -> Report:
         return replace(self, **changes)
 
-    def condition(self, as_of: dt.date) -> Column:
+    def rows(self, history: DataFrame, as_of: dt.date) -> DataFrame:
+        """The history rows that the extract is about."""
+        recent = history if self.days is None else recent_rows(history, as_of, self.days)
+        return recent.filter(self.condition())
+
+    def condition(self) -> Column:
         terms: list[Column] = []
-        if self.days is not None:
-            terms.append(newer_than(F.col("insrt_dt"), as_of, self.days))
         if self.team is not None:
             terms.append(F.col("team_assigned") == self.team)
         if self.cases is not None:
@@ -184,7 +187,7 @@ def report(history: DataFrame, preset: Report | str, as_of: dt.date, **changes)
     """Distinct rows of one extract; ``changes`` override the preset (e.g. ``cases=[3]``)."""
     spec = REPORTS[preset] if isinstance(preset, str) else preset
     spec = spec.with_(**changes) if changes else spec
-    rows = _with_optional(history, spec.columns).filter(spec.condition(as_of))
+    rows = spec.rows(_with_optional(history, spec.columns), as_of)
     if "incrs_type" in spec.columns:
         rows = increase_type(rows, spec.increase_cut)
     selected = rows.select(*spec.columns)
@@ -208,7 +211,7 @@ def variable_cost_summary(
     spec = Report(
         VARIABLE_COST_DIMENSIONS, team, cases=cases, types=VARIABLE_COST_TYPES, need_variable_cost=True, days=days
     )
-    rows = _with_optional(history, VARIABLE_COST_DIMENSIONS).filter(spec.condition(as_of))
+    rows = spec.rows(_with_optional(history, VARIABLE_COST_DIMENSIONS), as_of)
     return rows.groupBy(*VARIABLE_COST_DIMENSIONS).agg(
         F.avg("prcnt_cnctd").alias("avg_prcnt_cnctd"),
         *[F.sum(c).alias(f"sum_{c}") for c in VARIABLE_COST_SUMS],

@@ -30,13 +30,19 @@ from casework.operators.enrich import (
     resolve_address,
 )
 from casework.operators.pools import latest_pool, with_pool
-from casework.operators.price_lines import attach_price_source, price_case_lines
+from casework.operators.price_lines import (
+    PRICE_LINE_COLUMNS,
+    attach_price_source,
+    price_case_lines,
+    price_case_lines_v2,
+)
 from casework.plans.runlog import empty_log, run_log, start_entry
 from casework.settings import Settings
 from casework.session import tune
+from casework.sources.schemas import RUN_DATE
 from casework.sources.sinks import append_history, append_log
 from casework.sources.staging import Staging
-from casework.sources.tables import empty_history, read_history
+from casework.sources.tables import empty_history, read_history, unexpected_rows
 
 Stage = Callable[[DataFrame, str], DataFrame]
 Inputs = Mapping[str, DataFrame]
@@ -95,17 +101,13 @@ def case_rows(
     plain_cases, pools, sales = assign_cases(inputs, history, as_of, settings, stage)
     status = inputs["status"]
     cases = case_number(plain_cases, as_of)
-    prices = stage(
-        price_case_lines(
-            inputs["ipc"],
-            attach_price_source(cases, status),
-            inputs["contract_tier"],
-            inputs["customer"],
-            settings,
-            stage,
-        ),
-        "price_lines",
-    )
+    priced = attach_price_source(cases, status)
+    catalog = inputs["ipc"], priced, inputs["contract_tier"], inputs["customer"]
+    if settings.alternative_price_lines:
+        lines = price_case_lines_v2(*catalog, stage, settings.lenient).select(*PRICE_LINE_COLUMNS)
+    else:
+        lines = price_case_lines(*catalog, settings, stage, settings.lenient)
+    prices = stage(lines, "price_lines")
     accounts = stage(case_accounts(cases, status), "accounts")
     facts = line_facts(
         status,
@@ -167,13 +169,17 @@ def run_batch(
             log(staged, name, LOGGED_STEPS[name])
         return staged
 
-    # Rows of the run date are left out, so a rerun sees what the first attempt
-    # saw and replaces its rows. Undated rows never count as recent.
-    history = empty_history(spark) if first_run else read_history(spark, history_path)
-    history = history.filter(F.col("insrt_dt") < F.lit(as_of))
-    rows = staging.stage(case_rows(inputs, history, as_of, settings, stage), "case_rows")
-    append_history(rows, history_path)
-    today = read_history(spark, history_path).filter(F.col("insrt_dt") == F.lit(as_of))
-    log(today, "history", "rows added to the history", metric="ROWS_INSERTED")
-    staging.clear()
-    return today
+    try:
+        # Rows of the run date are left out, so a rerun sees what the first attempt
+        # saw and replaces its rows. Undated rows never count as recent.
+        history = empty_history(spark) if first_run else read_history(spark, history_path)
+        history = history.filter(F.col(RUN_DATE) < F.lit(as_of))
+        rows = staging.stage(case_rows(inputs, history, as_of, settings, stage), "case_rows")
+        append_history(rows, history_path, as_of)
+        today = read_history(spark, history_path).filter(F.col(RUN_DATE) == F.lit(as_of))
+        log(today, "history", "rows added to the history", metric="ROWS_INSERTED")
+        for table, codes in (("status", inputs["status"]), ("history", today)):
+            log(unexpected_rows(codes), table, "rows with a code outside the known lists", metric="UNKNOWN_CODES")
+        return today
+    finally:
+        staging.clear()

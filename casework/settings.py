@@ -64,6 +64,11 @@ class Settings:
     assignment_from_cases: bool = False
     #: True adds the columns some reports read but the history list lacks.
     report_extras: bool = False
+    #: True takes the alternative price lines: minima over the case lines only,
+    #: contract -1 on the older platform, customers of every platform.
+    alternative_price_lines: bool = False
+    #: True reads contract ids that are no number as 0 instead of failing.
+    lenient: bool = False
 
 
 @dataclass(frozen=True)

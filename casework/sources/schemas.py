@@ -150,6 +150,8 @@ HISTORY_COLUMNS: dict[str, str] = {
 HISTORY_EXTRA_COLUMNS = _columns(
     text="gpo_cot_name trig_cont_atr_elig_flg trig_cont_tier_base_flg var_cst_cont", key="gpo_cot"
 )
+#: partition column of the history: the day of the run, never null
+RUN_DATE = "run_date"
 EVENT_LOG_COLUMNS = {
     "start_": "timestamp",
     "now": "timestamp",

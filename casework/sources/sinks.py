@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casework.sources.schemas import EVENT_LOG_COLUMNS, HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS
+from casework.sources.schemas import EVENT_LOG_COLUMNS, HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS, RUN_DATE
 
 
 def append_table(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -13,26 +15,18 @@ def append_table(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("append").parquet(path)
 
 
-def append_history(rows: DataFrame, path: str, replace_day: bool = True) -> None:
-    """Add a run's rows to the history, partitioned by insert date.
+def append_history(rows: DataFrame, path: str, run_date: dt.date) -> None:
+    """Write a run's rows, dated or not, as the history's partition of its run date.
 
-    With ``replace_day`` a rerun replaces the date partitions it writes, so a
-    repeated run does not double its rows. Rows without a date (lines without
-    a price line) belong to no run date and are always appended.
+    One write replaces that partition as a whole, so a rerun leaves what a single
+    run leaves, and an empty rerun empties it. The insert date stays a column of
+    the rows; lines without a price line have none.
     """
     columns = [c for c in (HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS) if c in rows.columns]
-    # Rebalancing lets one task write a moderate number of rows per date,
-    # instead of every shuffle partition opening a file in every date folder.
-    shaped = rows.select(*columns)
-    if not replace_day:
-        shaped.hint("rebalance").write.partitionBy("insrt_dt").mode("append").parquet(path)
-        return
-    dated = shaped.filter(F.col("insrt_dt").isNotNull()).hint("rebalance")
-    dated.write.partitionBy("insrt_dt").mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).parquet(path)
-    undated = shaped.filter(F.col("insrt_dt").isNull()).hint("rebalance")
-    undated.write.partitionBy("insrt_dt").mode("append").parquet(path)
+    # Rebalancing lets one task write a moderate number of rows.
+    rows.select(*columns).hint("rebalance").write.mode("overwrite").parquet(
+        f"{path}/{RUN_DATE}={run_date.isoformat()}"
+    )
 
 
 def append_log(entry: DataFrame, path: str) -> None:
@@ -49,7 +43,9 @@ def export_case_files(extract: DataFrame, cases: DataFrame, path: str) -> None:
 
     ``cases`` is the case list with file names; the extract carries
     ``mmr_case``. Rows are spread within a file name, so one huge case is
-    written by several tasks.
+    written by several tasks, and sorted by case within a file.
     """
     named = extract.join(cases.select("mmr_case", "file_name").distinct(), "mmr_case")
-    named.hint("rebalance", F.col("file_name")).write.mode("overwrite").partitionBy("file_name").parquet(path)
+    order = "case_cntr" if "case_cntr" in extract.columns else "mmr_case"
+    dealt = named.hint("rebalance", F.col("file_name")).sortWithinPartitions("file_name", F.col(order).asc_nulls_last())
+    dealt.write.mode("overwrite").partitionBy("file_name").parquet(path)

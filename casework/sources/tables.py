@@ -14,6 +14,7 @@ from casework.sources.schemas import (
     HISTORY_EXTRA_COLUMNS,
     INPUTS,
     RENAMED_COLUMNS,
+    RUN_DATE,
     struct,
 )
 
@@ -51,14 +52,26 @@ def read_inputs(spark: SparkSession, locations: dict[str, str]) -> dict[str, Dat
 
 
 def read_history(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
-    """The history table; ``since`` prunes its date partitions."""
-    history = spark.read.schema(struct(HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS)).parquet(path)
-    return history if since is None else history.filter(F.col("insrt_dt") > F.lit(since))
+    """The history table with its run date; ``since`` prunes its partitions."""
+    columns = HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS | {RUN_DATE: "date"}
+    history = spark.read.schema(struct(columns)).parquet(path)
+    if since is None:
+        return history
+    return history.filter((F.col("insrt_dt") > F.lit(since)) & (F.col(RUN_DATE) > F.lit(since)))
 
 
 def empty_history(spark: SparkSession) -> DataFrame:
     """History of a first run."""
-    return spark.createDataFrame([], struct(HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS))
+    return spark.createDataFrame([], struct(HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS | {RUN_DATE: "date"}))
+
+
+def unexpected_rows(df: DataFrame) -> DataFrame:
+    """Rows with a code outside the known lists in any enumerated column."""
+    odd = F.lit(False)
+    for c, values in ALLOWED_VALUES.items():
+        if c in df.columns:
+            odd = odd | F.coalesce(~F.col(c).isin(*values), F.lit(False))
+    return df.filter(odd)
 
 
 def unexpected_codes(df: DataFrame) -> DataFrame:

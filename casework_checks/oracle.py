@@ -169,7 +169,16 @@ FRAGMENTS: dict[str, str] = {
     "split_contract_id": f"""
         select comp_cost_list_id, coalesce({_before('comp_cost_list_id')}, 0) as var_mck_cont_id,
             coalesce({_after('comp_cost_list_id')}, 0) as var_mck_cont_tier
-        from v_ipc where comp_cost_list_id <> '*'""",
+        from v_ipc""",
+    "run_log": """
+        select 'casework' as application_name, 'batch' as process_name, 'CREATE' as process_type,
+            'status' as event_action, 'rows of the status fact' as action_description, 'ROW_COUNT' as metric_name,
+            count(*) as metric_value, cast(1 as bigint) as runs_forward
+        from v_status""",
+    "history_rerun": f"""
+        select acct_item_key, case when ship_to % 4 <> 3 then {_D} end as insrt_dt, case_cntr, pndg_mmr_opp,
+            {_D} as run_date
+        from v_history_wide""",
     "offers_all": f"""
         select distinct price_source, item_as400_num, i.item_e1_num, parnt_suplr_num,
             case when sys_pltfrm = 'AS400' then item_as400_num else cast(i.item_e1_num as varchar) end as item,

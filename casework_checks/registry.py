@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -57,7 +58,9 @@ from casework.plans.runlog import run_log, start_entry
 from casework.session import tune
 from casework.settings import COOL_DOWN_DAYS, ExceptionSettings, Settings
 from casework.sources.schemas import HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS
+from casework.sources.sinks import append_history
 from casework.sources.staging import Staging
+from casework.sources.tables import read_history
 from casework_checks import oracle
 from casework_checks.views import AS_OF, SparkDialect, build_views, spark_view
 
@@ -282,12 +285,13 @@ def _standard_account(t: Tables) -> DataFrame:
 
 
 def _split(t: Tables) -> DataFrame:
-    ids = t["ipc"].select("comp_cost_list_id").filter(F.col("comp_cost_list_id") != "*")
-    return catalog.split_contract_id(ids, "comp_cost_list_id")
+    return catalog.split_contract_id(t["ipc"].select("comp_cost_list_id"), "comp_cost_list_id", lenient=True)
 
 
 def _cheapest_all(t: Tables) -> DataFrame:
-    return catalog.cheapest_contract_all(t.written("ipc"), t["item"], t["contract_tier"], t["gpo"], AS_OF)
+    return catalog.cheapest_contract_all(
+        t["ipc"], t["item"], t["contract_tier"], t["gpo"], AS_OF, Staging(t.spark).stage
+    )
 
 
 def _gpo_contracts(t: Tables) -> DataFrame:
@@ -296,13 +300,14 @@ def _gpo_contracts(t: Tables) -> DataFrame:
 
 def _gpo_items(t: Tables) -> DataFrame:
     return exceptions.gpo_items(
-        t["gpo"], t["contract_tier"], t["contract_item"], t["item"], t.written("ipc"), CHECK_RULES.focus_gpo_num, AS_OF
+        t["gpo"], t["contract_tier"], t["contract_item"], t["item"], t["ipc"], CHECK_RULES.focus_gpo_num, AS_OF
     )
 
 
 def _exception_base(t: Tables) -> DataFrame:
     return exceptions.exception_base(
-        t.written("ipc"), t["item"], t["customer_restriction"], _cheapest_all(t), _gpo_contracts(t), _gpo_items(t),
+        t["ipc"], t["item"], t["customer_restriction"],
+        Staging(t.spark).stage(_cheapest_all(t), "cheapest_all"), _gpo_contracts(t), _gpo_items(t),
         t["hierarchy"],
     )
 
@@ -331,7 +336,26 @@ def _summary(team: str, **kwargs) -> Callable[[Tables], DataFrame]:
 
 
 def _run_log(t: Tables) -> DataFrame:
-    return run_log(start_entry(t.spark), t.narrow("status", "acct_item_key"), "status", "rows of the status fact")
+    """A step's row after an older and a newer process, two rows sharing the latest time."""
+    start = start_entry(t.spark)
+    log = start.union(start).union(start.withColumn("process_name", F.lit("reports")))
+    entry = run_log(log, t.narrow("status", "acct_item_key"), "status", "rows of the status fact")
+    return entry.select(
+        "application_name", "process_name", "process_type", "event_action", "action_description", "metric_name",
+        "metric_value", (F.col("duration_string") >= 0).cast("bigint").alias("runs_forward"),
+    )
+
+
+def _history_rerun(t: Tables) -> DataFrame:
+    """A day's rows, dated and undated, written twice and read back; another day is empty at last."""
+    path = Staging(t.spark).path("history")
+    rows = t["history_wide"].withColumn(
+        "insrt_dt", F.when(F.col("ship_to") % 4 != 3, F.lit(AS_OF))
+    )
+    other = AS_OF - dt.timedelta(days=7)
+    for day, part in ((AS_OF, rows), (other, rows), (AS_OF, rows), (other, rows.limit(0))):
+        append_history(part, path, day)
+    return read_history(t.spark, path).select("acct_item_key", "insrt_dt", "case_cntr", "pndg_mmr_opp", "run_date")
 
 
 _SUMMARY = (reports.VARIABLE_COST_DIMENSIONS, reports.VARIABLE_COST_SUMS)
@@ -545,8 +569,18 @@ ENTRIES: dict[str, Entry] = {
     "category_totals": Entry(
         lambda t: exceptions.category_totals(_categorised(t)), _fragment("category_totals", "n_categorised total_gap")
     ),
-    # the log's times differ from run to run, so it has no SQL side
-    "run_log": Entry(_run_log),
+    # the log's times differ from run to run: only the sign of the duration is compared
+    "run_log": Entry(
+        _run_log,
+        _fragment(
+            "run_log",
+            "application_name process_name process_type event_action action_description metric_name metric_value "
+            "runs_forward",
+        ),
+    ),
+    "history_rerun": Entry(
+        _history_rerun, _fragment("history_rerun", "acct_item_key insrt_dt case_cntr pndg_mmr_opp run_date")
+    ),
 }
 
 

@@ -146,3 +146,35 @@ def test_save_table_replaces(spark, tmp_path):
     save_table(spark.range(2), "casework_test.result")
     assert spark.table("casework_test.result").count() == 2
     spark.sql("drop database casework_test cascade")
+
+
+def test_undated_rows_of_a_rerun_are_not_doubled(spark, inputs, tmp_path):
+    """Default settings leave lines of unknown customers undated; three runs leave what one leaves."""
+    history = f"{tmp_path}/history"
+    known = inputs | {"customer": inputs["customer"].filter("cust_type_cd <> 'Z'")}
+    settings = Settings(top_contracts=2, top_customer_vendors=2)
+    counts = []
+    for k in range(2):
+        day = run_batch(spark, known, history, f"{tmp_path}/log", AS_OF, settings, first_run=k == 0)
+        counts.append((day.count(), day.filter("insrt_dt is null").count()))
+    assert counts[0] == counts[1] and counts[0][1] > 0
+
+
+def test_alternative_price_lines(spark, inputs, tmp_path):
+    settings = Settings(top_contracts=2, top_customer_vendors=2, alternative_price_lines=True, lenient=True)
+    day = run_batch(spark, inputs, f"{tmp_path}/history", f"{tmp_path}/log", AS_OF, settings, first_run=True)
+    assert day.count() > 0 and set(HISTORY_COLUMNS) <= set(day.columns)
+
+
+def test_exception_and_report_jobs(spark, inputs, run, tmp_path):
+    from casework.plans.exceptions import run_exceptions
+    from casework.plans.reports import run_reports
+    from casework_checks.registry import CHECK_RULES
+
+    lines = run_exceptions(spark, inputs, f"{tmp_path}/exceptions", AS_OF, CHECK_RULES, lenient=True)
+    again = run_exceptions(spark, inputs, f"{tmp_path}/exceptions", AS_OF, CHECK_RULES, lenient=True)
+    assert lines.count() == again.count() > 0
+    cases = run_reports(spark, run["history"], f"{tmp_path}/reports", AS_OF + WEEK, ["cct"])
+    written = spark.read.parquet(f"{tmp_path}/reports/cct")
+    names = {r.file_name for r in cases.collect() if r.team_assigned == "CCT"}
+    assert {r.file_name for r in written.select("file_name").distinct().collect()} <= names

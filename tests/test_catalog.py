@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -141,3 +142,12 @@ def test_standard_account_can_be_both(spark):
         ],
     ).withColumn("var_cst_cont", F.lit("A"))
     assert rows(standard_account_connected(df)) == [("P", 1, "A", "N"), ("P", 1, "A", "Y")]
+
+
+def test_strict_contract_id_raises(spark):
+    from casework.operators.catalog import split_contract_id
+
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        split_contract_id(spark.createDataFrame([("x-1",)], "id string"), "id").collect()
+    lenient = split_contract_id(spark.createDataFrame([("x-1",), (None,)], "id string"), "id", lenient=True)
+    assert {(r.var_mck_cont_id, r.var_mck_cont_tier) for r in lenient.collect()} == {(0, 1), (0, 0)}

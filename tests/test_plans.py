@@ -59,9 +59,9 @@ def test_history_filters_reach_the_scan(spark, tmp_path):
     from casework.sources.tables import read_history
 
     path = f"{tmp_path}/history"
-    append_history(Tables(spark, SF)["history_wide"], path)
+    append_history(Tables(spark, SF)["history_wide"], path, AS_OF)
     history = read_history(spark, path)
     cooling = physical(recently_assigned(history, AS_OF, COOL_DOWN_DAYS))
     for plan in (cooling, physical(report(history, "cct", AS_OF))):
-        assert re.search(r"PartitionFilters: \[[^]]*insrt_dt", plan)
-    assert "ReadSchema: struct<acct_item_key:string,team_assigned:string>" in cooling
+        assert re.search(r"PartitionFilters: \[[^]]*run_date", plan)
+    assert "ReadSchema: struct<acct_item_key:string,team_assigned:string,insrt_dt:date>" in cooling

@@ -52,5 +52,6 @@ def test_entry(spark):
     assert out.limit(1).count() == 1
 
 
-def test_every_query_but_the_log_has_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"run_log"}
+def test_every_query_has_sql():
+    assert all(entry.sql for entry in ENTRIES.values())
+    assert set(ENTRIES) <= set(driver.queries()) & set(driver.oracle_sql())
