@@ -8,10 +8,12 @@ order, make one sketch value. Two texts share a value if they share those k-mers
 in that order, so the chance of it follows edit similarity.
 
 Texts that share a value are candidates. Comparing all of them would grow with
-the square of a group, so within each value's group texts are compared with one
-leader: the text that shares most values with others (the original of a family,
-as a rule). Texts not joined to their leader get a new leader among themselves,
-round by round, until a round finds no new link.
+the square of a group, so within each value's group texts are compared with
+leaders. The first leader is the most central text, whose k-mers the others have
+most often (the original of a family, as a rule). Texts not joined to it are
+compared with the most central ones of ``leaders`` parts of the group, and those
+still apart get leaders among themselves, round by round, until a round finds no
+new link.
 
 Candidates are verified: their labelled k-mers are aligned within a band that no
 alignment of similarity ``least`` can leave, and the similarity is the aligned
@@ -41,6 +43,8 @@ from casework.llm.common import key_columns, ship, stage
 from casework.llm.components import components
 
 KEY = ["_k1", "_k2"]
+#: Texts that share a sketch value.
+GROUP = ["_i", "_value"]
 #: Bytes of text hashed at a time, to bound a task's memory.
 BLOCK = 1 << 20
 
@@ -51,6 +55,10 @@ class OrderMinHash:
     picks: int = 2
     sketches: int = 12
     least: float = 0.8
+    #: Leaders of a group for the texts that its most central one does not join.
+    leaders: int = 8
+    #: Labelled k-mers by which a text's centrality is judged.
+    sample: int = 128
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -269,6 +277,39 @@ def _verified(pairs: DataFrame, texts: DataFrame, plan: OrderMinHash) -> DataFra
     return joined.mapInArrow(verify, "a binary, b binary")
 
 
+def _samples(kmers_of: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """The smallest labelled k-mers of each text, the same ones in similar texts."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, values = [], []
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = np.frombuffer(raw.as_buffer(), dtype="<u4")
+                if len(found) > plan.sample:
+                    found = np.partition(found, plan.sample)[: plan.sample]
+                keys += [key] * len(found)
+                values.append(found.astype(np.int64))
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.binary()), pa.array(np.concatenate(values))], names=["text_key", "kmer"]
+                )
+
+    return kmers_of.mapInArrow(sample, "text_key binary, kmer long")
+
+
+def _centrality(members: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """Per text how often others have its sampled k-mers, on average; edits lower it.
+
+    Only texts of larger groups need it; in others every member leads.
+    """
+    crowded = members.where(F.col("_size") > plan.leaders).select("text_key").distinct()
+    samples = stage(
+        _samples(kmers_of.join(crowded, "text_key", "left_semi").select("text_key", "kmers"), plan), "near_samples"
+    )
+    common = stage(samples.groupBy("kmer").agg(F.count("*").alias("_df")), "near_sample_counts")
+    return samples.join(common, "kmer").groupBy("text_key").agg(F.avg("_df").alias("_central"))
+
+
 def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFrame:
     """Component of each linked text: ``id`` (a text key) and ``component``."""
     texts = stage(
@@ -282,57 +323,74 @@ def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFram
     )
     values = texts.select("text_key", F.posexplode("sketch").alias("_i", "_value"))
     shared = stage(
-        values.groupBy("_i", "_value").agg(F.count("*").alias("_size")).where("_size > 1"), "near_shared"
-    )
-    values = stage(values.join(shared, ["_i", "_value"]), "near_values")
-    central = stage(values.groupBy("text_key").agg(F.sum("_size").alias("_central")), "near_central")
-    open_rows = stage(
-        values.select("text_key", "_i", "_value").join(central, "text_key"), "near_open0"
+        values.groupBy(*GROUP).agg(F.count("*").alias("_size")).where("_size > 1"), "near_shared"
     )
-    wanted = texts.join(central.select("text_key"), "text_key", "left_semi").select("text_key", *KEY)
+    members = stage(values.join(shared, GROUP), "near_values")
+    wanted = texts.join(members.select("text_key").distinct(), "text_key", "left_semi").select("text_key", *KEY)
     kmers_of = stage(_labelled_kmers(docs, wanted, plan), "near_kmers")
-    links, done, rounds = None, None, 0
-    while True:
-        leaders = stage(
-            open_rows.groupBy("_i", "_value").agg(
-                F.max(F.struct("_central", "text_key"))["text_key"].alias("leader")
-            ),
-            f"near_leaders{rounds}",
-        )
+    central = stage(_centrality(members, kmers_of, plan), "near_central")
+    members = stage(
+        members.select("text_key", *GROUP)
+        .join(central, "text_key", "left")
+        .select("text_key", *GROUP, F.coalesce("_central", F.lit(0.0)).alias("_central")),
+        "near_members",
+    )
+
+    def lead(candidates: DataFrame, name: str, *part: str) -> DataFrame:
+        best = F.max(F.struct("_central", "text_key"))["text_key"]
+        return stage(candidates.groupBy(*GROUP, *part).agg(best.alias("leader")).select(*GROUP, "leader"), name)
+
+    def compare(open_rows: DataFrame, leaders: DataFrame, done: DataFrame | None, name: str):
         pairs = (
-            open_rows.join(leaders, ["_i", "_value"])
+            open_rows.join(leaders, GROUP)
             .where("text_key != leader")
             .select(F.col("text_key").alias("a"), F.col("leader").alias("b"))
             .distinct()
         )
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stage(pairs, f"near_pairs{rounds}")
-        found = stage(_verified(pairs, kmers_of, plan), f"near_links{rounds}")
-        if links is not None and not found.limit(1).count():
-            break
-        links = found if links is None else links.union(found)
-        done = pairs if done is None else done.union(pairs)
-        labels = stage(components(links, f"near_components{rounds}"), f"near_labels{rounds}")
-        # Rows whose text is not joined to its leader go on, if their group has another such row.
+        pairs = stage(pairs, f"near_pairs_{name}")
+        return pairs, stage(_verified(pairs, kmers_of, plan), f"near_links_{name}")
+
+    def apart(open_rows: DataFrame, leaders: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+        """Rows whose text is in another component than the leader of the group."""
         mine = labels.select(F.col("id").alias("text_key"), F.col("component").alias("_mine"))
         theirs = labels.select(F.col("id").alias("leader"), F.col("component").alias("_theirs"))
-        apart = stage(
-            open_rows.join(stage(leaders.join(theirs, "leader", "left"), f"near_led{rounds}"), ["_i", "_value"])
+        led = stage(leaders.join(theirs, "leader", "left"), f"near_led_{name}")
+        return stage(
+            open_rows.join(led, GROUP)
+            .where("text_key != leader")
             .join(mine, "text_key", "left")
-            .where(
-                (F.col("text_key") != F.col("leader"))
-                & ~F.coalesce(F.col("_mine") == F.col("_theirs"), F.lit(False))
-            )
-            .select("text_key", "_i", "_value", "_central"),
-            f"near_apart{rounds}",
+            .where(~F.coalesce(F.col("_mine") == F.col("_theirs"), F.lit(False)))
+            .select("text_key", *GROUP, "_central"),
+            f"near_open_{name}",
+        )
+
+    # First every text against the most central one of its groups.
+    main = lead(members, "near_main")
+    done, links = compare(members, main, None, "main")
+    open_rows = apart(members, main, components(links, "near_first"), "main")
+    # Then those not joined to it against several, one from each part of the group.
+    part = F.pmod(F.xxhash64("text_key"), F.lit(plan.leaders))
+    several = lead(members.withColumn("_part", part), "near_several", "_part")
+    pairs, found = compare(open_rows, several, done, "several")
+    done, links = done.union(pairs), links.union(found)
+    open_rows = apart(open_rows, main, components(links, "near_second"), "several")
+    # Then, among those still apart, leaders of their own, until a round finds no link.
+    rounds = 0
+    while True:
+        leaders = lead(open_rows, f"near_own{rounds}")
+        pairs, found = compare(open_rows, leaders, done, f"own{rounds}")
+        if not found.limit(1).count():
+            return components(links, "near_final")
+        done, links = done.union(pairs), links.union(found)
+        ended = found.select(F.col("a").alias("text_key"), F.col("b").alias("leader"))
+        led = stage(open_rows.join(leaders, GROUP).where("text_key != leader"), f"near_led_own{rounds}")
+        open_rows = stage(
+            led.join(ended, ["text_key", "leader"], "left_anti").select("text_key", *GROUP, "_central"),
+            f"near_open_own{rounds}",
         )
-        groups = stage(apart.groupBy("_i", "_value").agg(F.count("*").alias("_n")).where("_n > 1"), f"near_groups{rounds}")
         rounds += 1
-        open_rows = stage(apart.join(groups.drop("_n"), ["_i", "_value"]), f"near_open{rounds}")
-        if not open_rows.limit(1).count():
-            break
-    return components(links, "near_final")
 
 
 def classes(docs: DataFrame, plan: OrderMinHash = OrderMinHash()) -> DataFrame:
@@ -341,7 +399,7 @@ def classes(docs: DataFrame, plan: OrderMinHash = OrderMinHash()) -> DataFrame:
     One row of each class is kept: the one with the smallest id and key.
     """
     rows = stage(_sketch_table(docs, plan), "near_rows")
-    linked = stage(text_links(docs, rows, plan), "near_classes")
+    linked = text_links(docs, rows, plan)
     # Linked texts share their component; others are a class of their own.
     placed = rows.select(*KEY, "doc_id", "text_key").join(
         linked.withColumnRenamed("id", "text_key"), "text_key", "left"
