@@ -57,7 +57,11 @@ def select_candidates(
     as_of: dt.date,
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """Lines with an open opportunity that are neither excluded nor cooling down."""
+    """Lines with an open opportunity that are neither excluded nor cooling down.
+
+    By default the exclusion list is matched by joined text; with
+    ``composite_exclusion_keys`` by ship-to and item, where a null matches nothing.
+    """
     baseline = F.col("bl_mfg_cont")
     open_lines = (
         status.filter(F.col("pndg_mmr_opp") > 0)
@@ -78,7 +82,16 @@ def select_candidates(
             "mstr_grp_num",
             trace_key().alias("trace_key"),
             joined_text(F.col("ship_to"), F.col("item_e1_num")).alias("__exclusion_key"),
+            F.col("ship_to").alias("__line_ship_to"),
         )
     )
-    not_excluded = not_in(open_lines, "__exclusion_key", _exclusion_keys(exclusions)).drop("__exclusion_key")
+    if settings.composite_exclusion_keys:
+        listed = exclusions.filter(F.col("ship_to") != -1).select(
+            F.col("ship_to").alias("__ship_to"), F.col("item_e1_num").alias("__item")
+        )
+        same = (F.col("__line_ship_to") == F.col("__ship_to")) & (F.col("item_e1_num") == F.col("__item"))
+        not_excluded = open_lines.join(listed.distinct(), same, "left_anti")
+    else:
+        not_excluded = not_in(open_lines, "__exclusion_key", _exclusion_keys(exclusions))
+    not_excluded = not_excluded.drop("__exclusion_key", "__line_ship_to")
     return not_in(not_excluded, "acct_item_key", recently_assigned(history, as_of, settings.cool_down_days))

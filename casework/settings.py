@@ -64,6 +64,9 @@ class Settings:
     assignment_from_cases: bool = False
     #: True adds the columns some reports read but the history list lacks.
     report_extras: bool = False
+    #: True compares ship-to and item of the exclusion list one by one; False
+    #: compares their joined text, in which 12 and 345 equal 123 and 45.
+    composite_exclusion_keys: bool = False
     #: True takes the alternative price lines: minima over the case lines only,
     #: contract -1 on the older platform, customers of every platform.
     alternative_price_lines: bool = False

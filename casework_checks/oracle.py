@@ -66,6 +66,19 @@ FRAGMENTS: dict[str, str] = {
         where pndg_mmr_opp > 0 and coalesce(bl_mfg_cont, '') <> 'MCKB-NEG-LD'
             and acct_item_key not in (select acct_item_key from recent)
             and {_text('ship_to', 'item_e1_num')} not in (select exclusion_key from excluded_keys)""",
+    "candidates_composite": f"""
+        select acct_item_key, bl_mfg_cont, {_now('curr_mfg_cont')} as curr_mfg_cont, item_e1_num,
+            (({_now('curr_cost')}) - bl_cost) * curr_qty * 4 as cost_impact, pndg_mmr_opp, mmr_type,
+            acct_or_bill_to, highest_cust_name, vendor_name, bus_pltfrm, sys_pltfrm, mstr_grp_num,
+            case sys_pltfrm
+                when 'AS400' then concat(acct_or_bill_to, sys_pltfrm, item_as400_num, '-', strftime(bl_date, '%Y-%m-%d'))
+                when 'E1' then concat(ship_to, sys_pltfrm, item_e1_num, '-', strftime(bl_date, '%Y-%m-%d'))
+            end as trace_key
+        from v_status
+        where pndg_mmr_opp > 0 and coalesce(bl_mfg_cont, '') <> 'MCKB-NEG-LD'
+            and acct_item_key not in (select acct_item_key from recent)
+            and not exists (select 1 from v_exclusions x where x.ship_to <> -1
+                and x.ship_to = v_status.ship_to and x.item_e1_num = v_status.item_e1_num)""",
     "maybe_taken": f"""
         select case when pool_num is not null then acct_item_key end as k from v_history
         where insrt_dt > {_D} - 25""",

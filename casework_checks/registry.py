@@ -398,6 +398,12 @@ ENTRIES: dict[str, Entry] = {
     ),
     "excluded_keys": Entry(lambda t: excluded_keys(t["exclusions"]), _fragment("excluded_keys", "exclusion_key")),
     "candidates": Entry(_candidates, _fragment("candidates", CANDIDATE_COLUMNS)),
+    "candidates_composite_keys": Entry(
+        lambda t: select_candidates(
+            _candidate_status(t), t["history"], t["exclusions"], AS_OF, Settings(composite_exclusion_keys=True)
+        ),
+        _fragment("candidates_composite", CANDIDATE_COLUMNS),
+    ),
     "not_in_with_nulls": Entry(
         lambda t: not_in(t.narrow("status", "acct_item_key"), "acct_item_key", _maybe_taken(t)),
         _fragment("not_in_with_nulls", "acct_item_key"),

@@ -19,7 +19,7 @@ from casework.operators.cases import (
     top_customer_vendor_cases,
 )
 from casework.operators.pools import latest_pool
-from casework.settings import COOL_DOWN_DAYS
+from casework.settings import COOL_DOWN_DAYS, Settings
 from casework.sources.schemas import EXCLUSIONS, STATUS, struct
 
 DAY = dt.timedelta(days=1)
@@ -170,3 +170,21 @@ def test_normalised_names(spark):
     df = spark.createDataFrame([(1, 2, 3)], ["Ship To", "Item Number (E1)", "Some Other Name"])
     assert normalised(df).columns == ["ship_to", "item_e1_num", "some_other_name"]
     assert normalised(df).select(F.col("item_e1_num")).first()[0] == 2
+
+
+def test_composite_exclusion_keys_do_not_collide(spark):
+    """Ship-to 12 with item 345 and ship-to 123 with item 45 have the same joined text."""
+    from casework.operators.candidates import excluded_keys
+    from casework_checks.registry import Tables, _candidate_status
+
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    line = _candidate_status(tables).filter("pndg_mmr_opp > 0 and ship_to > 9").limit(1).collect()[0]
+    ship_to, item = str(line.ship_to), str(line.item_e1_num)
+    other = spark.createDataFrame([(int(ship_to[:-1]), int(ship_to[-1] + item))], "ship_to long, item_e1_num long")
+    assert excluded_keys(other).first()[0] == ship_to + item
+    none = tables["history"].limit(0)
+    plain = select_candidates(_candidate_status(tables), none, other, AS_OF)
+    exact = select_candidates(_candidate_status(tables), none, other, AS_OF, Settings(composite_exclusion_keys=True))
+    key = line.acct_item_key
+    assert plain.filter(F.col("acct_item_key") == key).count() == 0
+    assert exact.filter(F.col("acct_item_key") == key).count() > 0
