@@ -151,3 +151,33 @@ def test_strict_contract_id_raises(spark):
         split_contract_id(spark.createDataFrame([("x-1",)], "id string"), "id").collect()
     lenient = split_contract_id(spark.createDataFrame([("x-1",), (None,)], "id string"), "id", lenient=True)
     assert {(r.var_mck_cont_id, r.var_mck_cont_tier) for r in lenient.collect()} == {(0, 1), (0, 0)}
+
+
+def test_lines_without_contract_take_the_placeholder_tiers(spark):
+    """Nine of ten lines have no contract: their tier ids come from one lookup, not from a join on one key."""
+    from casework.operators.price_lines import price_case_lines
+
+    day = "cast('2021-03-15' as date)"
+    lines = [
+        {"sys_pltfrm": "E1", "ship_to": i, "bus_pltfrm": "PC", "item_e1_num": 1, "price_source": "A" if i % 10 else "B",
+         "comp_cost_list_id": "5-1" if i % 10 == 0 else "*", "pricing_cost_list_id": "5-1" if i % 10 == 0 else "*",
+         "comp_cost_initial": Decimal(i + 1), "pricing_cost_initial": Decimal(i + 1), "acct_or_bill_to": i}
+        for i in range(50)
+    ]
+    catalog = ipc(spark, lines)
+    cases = catalog.selectExpr(
+        "concat(sys_pltfrm, ship_to, bus_pltfrm, item_e1_num) acct_item_key", "price_source", "item_e1_num",
+        "1L case_cntr", "'CCT' team_assigned", "cast(null as bigint) pool_num", "'x' mmr_case", f"{day} insrt_dt",
+    )
+    tiers = spark.createDataFrame(
+        [(0, 0, 7), (0, 0, 8), (5, 1, 51)], "cntrct_num long, tier_num long, dim_cntrct_tier_id long"
+    )
+    accounts = spark.createDataFrame(
+        [("E1", i, "PC", 100 + i) for i in range(50)],
+        "sys_pltfrm string, cust_e1_num long, bus_pltfrm string, dim_cust_curr_id long",
+    )
+    out = price_case_lines(catalog, cases, tiers, accounts)
+    found = sorted((r.ship_to, r.var_mck_cont_id, r.vrcst_cntrct_tier_id) for r in out.collect())
+    want = sorted((i, 5, 51) for i in range(0, 50, 10))
+    want += sorted((i, 0, t) for i in range(50) if i % 10 for t in (7, 8))
+    assert found == sorted(want)
