@@ -20,11 +20,11 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casework.llm.common import ship
@@ -89,6 +89,21 @@ def differing_paragraphs(one: str, other: str) -> list[int]:
     return out
 
 
+def _leading(cuts: list[int], holds: Callable[[Column], Column]) -> Column:
+    """How many leading cuts the condition holds for, by binary search."""
+    if not cuts:
+        return F.lit(0)
+    known = F.array(*(F.lit(c).cast("long") for c in cuts))
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))))
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda found, step: F.when(
+            F.coalesce(holds(F.get(known, found + step - 1)), F.lit(False)), found + step
+        ).otherwise(found),
+    )
+
+
 def _followed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows in runs of falling id, each run closed by the row that follows it.
 
@@ -106,9 +121,9 @@ def _followed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
     shares = F.array(*(F.lit(i / n) for i in range(1, n))) if n > 1 else F.array(F.lit(0.5))
     cuts = keyed.agg(F.percentile_approx("_key", shares, 100_000)).first()[0] or []
-    known = F.array(*(F.lit(c).cast("long") for c in cuts)) if cuts else F.array().cast("array<long>")
-    above = F.size(F.filter(known, lambda c: c > F.col("_key")))
-    equal = F.size(F.filter(known, lambda c: c == F.col("_key")))
+    falling = sorted(cuts, reverse=True)
+    above = _leading(falling, lambda c: c > F.col("_key"))
+    equal = _leading(falling, lambda c: c >= F.col("_key")) - above
     share = F.col("_order") / F.lit(float(1 << 63))
     # Within an id the hash falls as the run number grows, as in the sort below.
     within = F.least(F.floor((F.lit(1.0) - share) * (equal + 1)), equal)
@@ -138,7 +153,7 @@ def _followed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
     return (
         sent.select(F.col("_at.run").alias("_run"), F.col("_at.guest").alias("_guest"), "_key", "_order", "doc_id", "text")
-        .repartition(n, "_run")
+        .repartitionById(n, "_run")
         .sortWithinPartitions("_run", "_guest", F.desc("_key"), F.desc("_order"))
         .select("_run", "_guest", "doc_id", "text")
     )
