@@ -179,7 +179,7 @@ def run_batch(
         today = read_history(spark, history_path).filter(F.col(RUN_DATE) == F.lit(as_of))
         log(today, "history", "rows added to the history", metric="ROWS_INSERTED")
         for table, codes in (("status", inputs["status"]), ("history", today)):
-            log(unexpected_rows(codes), table, "rows with a code outside the known lists", metric="UNKNOWN_CODES")
+            log(unexpected_rows(codes), f"{table}_codes", "rows with a code outside the known lists", metric="UNKNOWN_CODES")
         return today
     finally:
         staging.clear()
