@@ -23,7 +23,7 @@ import numpy as np
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*\Z")
 _SPACE_RUN = re.compile(r"\A | \Z|\s | \s")
 #: Chunks remembered by a worker; beyond it the memory starts anew, which only costs time.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
 
 def _byte_letters() -> dict[str, int]:

@@ -56,6 +56,8 @@ _WORD = re.compile(r"\w+")
 #: Characters looked at on either side of a find; clauses beyond it count up to there.
 REACH = 400
 STEM_LENGTHS = range(3, 9)
+#: Stems that a task counts before it passes their sums on.
+HELD_STEMS = 100_000
 PATTERNS = ("asserted", "aimed", "negated", "reported", "threat", "strongest", "density")
 
 
@@ -137,24 +139,26 @@ def _stem_counts(sample: DataFrame) -> DataFrame:
     """Texts and toxic texts per stem; each task sums its own rows first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        clean: dict[str, int] = {}
-        toxic: dict[str, int] = {}
+        def batch_of(counts: dict[str, int], is_toxic: bool) -> pa.RecordBatch:
+            values, zeros = pa.array(list(counts.values()), pa.int64()), pa.array([0] * len(counts), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.string()), values if is_toxic else zeros, zeros if is_toxic else values],
+                names=["stem", "toxic", "clean"],
+            )
+
+        counts: dict[bool, dict[str, int]] = {False: {}, True: {}}
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1), strict=True):
-                into = toxic if label.as_py() else clean
+                into = counts[bool(label.as_py())]
                 for stem in _stem_set(text.as_py() or ""):
                     into[stem] = into.get(stem, 0) + 1
-        # Only a stem of some toxic text can be kept, but other tasks may have that text.
-        for counts, is_toxic in ((toxic, True), (clean, False)):
-            names = list(counts)
-            for at in range(0, len(names), 50_000):
-                part = names[at : at + 50_000]
-                values = pa.array([counts[n] for n in part], pa.int64())
-                zeros = pa.array([0] * len(part), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.string()), values if is_toxic else zeros, zeros if is_toxic else values],
-                    names=["stem", "toxic", "clean"],
-                )
+                # Partial sums go on before they grow large; the aggregate adds them up.
+                if len(into) > HELD_STEMS:
+                    yield batch_of(into, into is counts[True])
+                    into.clear()
+        for is_toxic, rest in counts.items():
+            if rest:
+                yield batch_of(rest, is_toxic)
 
     rows = sample.select("text", "toxic").mapInArrow(count, "stem string, toxic long, clean long")
     return rows.groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
