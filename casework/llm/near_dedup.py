@@ -7,13 +7,15 @@ picks the ``picks`` smallest labelled k-mers; their k-mers, put back into text
 order, make one sketch value. Two texts share a value if they share those k-mers
 in that order, so the chance of it follows edit similarity.
 
-Texts that share a value are candidates. Comparing all of them would grow with
-the square of a group, so within each value's group texts are compared with
-leaders. The first leader is the most central text, whose k-mers the others have
-most often (the original of a family, as a rule). Texts not joined to it are
-compared with the most central ones of ``leaders`` parts of the group, and those
-still apart get leaders among themselves, round by round, until a round finds no
-new link.
+Texts that share a value are candidates. To join most of them early, texts of a
+value's group are compared with leaders. The first leader is the most central
+text, whose k-mers the others have most often (the original of a family, as a
+rule). Texts not joined to it are compared with the most central ones of
+``leaders`` parts of the group. Then every pair of a group that is not yet in one
+component is compared, open texts with joined ones too, in tiles of ``tile`` by
+``tile`` texts. A pair is left out only if it is in one component already, if its
+lengths or its number of shared k-mers cannot reach ``least``, or if the two share
+an earlier value, in whose group they meet.
 
 Candidates are verified: their labelled k-mers are aligned within a band that no
 alignment of similarity ``least`` can leave, and the similarity is the aligned
@@ -30,6 +32,7 @@ several texts may name several classes; an empty table gives an empty table. Fur
 from __future__ import annotations
 
 import bisect
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +48,9 @@ from casework.llm.components import components
 KEY = ["_k1", "_k2"]
 #: Texts that share a sketch value.
 GROUP = ["_i", "_value"]
+#: Texts of a group that have a length class and are open, or in its main component.
+CELL = ["_band", "_open", "_chunk"]
+TILE = [*GROUP, "_tile"]
 #: Bytes of text hashed at a time, to bound a task's memory.
 BLOCK = 1 << 20
 
@@ -59,6 +65,8 @@ class OrderMinHash:
     leaders: int = 8
     #: Labelled k-mers by which a text's centrality is judged.
     sample: int = 128
+    #: Texts on a side of a tile.
+    tile: int = 128
 
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -310,6 +318,177 @@ def _centrality(members: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) ->
     return samples.join(common, "kmer").groupBy("text_key").agg(F.avg("_df").alias("_central"))
 
 
+def shared_counts(texts: list[np.ndarray], left: np.ndarray, right: np.ndarray, width: int = 8192) -> np.ndarray:
+    """Shared k-mers of each text of ``left`` with each of ``right``, by products of ``width`` k-mers at a time.
+
+    A number that two k-mers of a text have in common counts for both, so a count is never too small.
+    """
+    out = np.zeros((len(left), len(right)))
+    numbers = np.concatenate(texts)
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    order = np.argsort(numbers, kind="stable")
+    numbers, owner = numbers[order], owner[order]
+    new = np.ones(len(numbers), dtype=bool)
+    new[1:] = numbers[1:] != numbers[:-1]
+    column = np.cumsum(new) - 1
+    common = np.bincount(column)[column] > 1
+    owner, column = owner[common], column[common]
+    if not len(column):
+        return out
+    column = np.unique(column, return_inverse=True)[1]
+    cuts = np.searchsorted(column, np.arange(0, column[-1] + width + 1, width))
+    for k in range(len(cuts) - 1):
+        a, b = cuts[k], cuts[k + 1]
+        if a == b:
+            continue
+        w = int(column[b - 1]) - k * width + 1
+        flat = np.bincount(owner[a:b] * w + column[a:b] - k * width, minlength=len(texts) * w)
+        block = flat.reshape(len(texts), w).astype(np.float32)
+        out += block[left] @ block[right].T
+    return out
+
+
+def tile_links(
+    texts: list[np.ndarray], side: np.ndarray, component: list, sketch: np.ndarray, value: int, least: float
+) -> list[tuple[int, int]]:
+    """Links that join the components of a tile's texts, among the pairs that meet in sketch value ``value``."""
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    alone = not len(right)
+    if alone:
+        right = left
+    sizes = np.array([len(t) for t in texts])
+    shared = shared_counts(texts, left, right)
+    total = sizes[left][:, None] + sizes[right][None, :]
+    likely = shared * (1 + least) >= least * total - 1e-6
+    names = np.unique(np.array(component, dtype=object), return_inverse=True)[1]
+    likely &= names[left][:, None] != names[right][None, :]
+    if alone:
+        likely = np.triu(likely, 1)
+    r, c = np.nonzero(likely)
+    # The surest first, so that the others are mostly joined by then.
+    order = np.argsort(-(shared[r, c] / total[r, c]), kind="stable")
+    r, c = left[r[order]], right[c[order]]
+    meets = (sketch[r] == sketch[c]).argmax(axis=1) == value
+    root = list(range(int(names.max()) + 1))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for x, y in zip(r[meets].tolist(), c[meets].tolist(), strict=True):
+        a, b = find(names[x]), find(names[y])
+        if a != b and aligned_similarity(texts[x], texts[y], least) > 0:
+            root[a] = b
+            found.append((x, y))
+    return found
+
+
+def _tiles(members: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """Members of the groups that are not one component, once for each tile they are in.
+
+    ``members`` has text_key, n, component and the group. The pairs of a group's main
+    component need no tile; neither do lengths that are more than one class apart.
+    """
+    counts = members.groupBy(*GROUP, "component").agg(F.count("*").alias("_n"))
+    mains = stage(
+        counts.groupBy(*GROUP)
+        .agg(F.max(F.struct("_n", "component")).alias("_most"), F.sum("_n").alias("_size"))
+        .where("_most._n < _size")
+        .select(*GROUP, F.col("_most.component").alias("_main"), "_size"),
+        "near_mains",
+    )
+    small = F.col("_size") <= plan.tile
+    # Slightly wider classes than the bound, so that rounding cannot part a pair by two.
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(1.01 / plan.least)).cast("int")
+    sided = stage(
+        members.join(mains, GROUP).select(
+            "text_key",
+            "component",
+            *GROUP,
+            F.when(small, 0).otherwise(band).alias("_band"),
+            (small | (F.col("component") != F.col("_main"))).alias("_open"),
+        ),
+        "near_sided",
+    )
+    cells = stage(
+        sided.groupBy(*GROUP, "_band", "_open").agg(F.ceil(F.count("*") / plan.tile).cast("int").alias("_chunks")),
+        "near_cells",
+    )
+    each = cells.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    first = each.where("_open").select(*GROUP, *(F.col(c).alias(f"{c}1") for c in CELL))
+    second = each.select(*GROUP, *(F.col(c).alias(f"{c}2") for c in CELL))
+    same = (F.col("_band1") == F.col("_band2")) & (F.col("_chunk1") == F.col("_chunk2")) & F.col("_open2")
+    later = F.struct("_band1", "_chunk1") <= F.struct("_band2", "_chunk2")
+    pairs = stage(
+        first.join(second, GROUP)
+        .where((F.abs(F.col("_band1") - F.col("_band2")) <= 1) & (~F.col("_open2") | later))
+        .select(
+            *GROUP,
+            *(f"{c}{e}" for e in (1, 2) for c in CELL),
+            F.concat_ws(",", "_band1", "_chunk1", "_band2", "_chunk2", F.col("_open2").cast("string")).alias("_tile"),
+            same.alias("_same"),
+        ),
+        "near_tile_pairs",
+    )
+    ends = [
+        p.select(*TILE, *(F.col(f"{c}{e}").alias(c) for c in CELL), F.lit(e - 1).alias("_side"))
+        for e, p in ((1, pairs), (2, pairs.where("not _same")))
+    ]
+    placed = sided.join(cells, [*GROUP, "_band", "_open"]).withColumn(
+        "_chunk", F.pmod(F.xxhash64("text_key"), F.col("_chunks")).cast("int")
+    )
+    return placed.join(ends[0].union(ends[1]), [*GROUP, *CELL]).select(*TILE, "_side", "text_key", "component")
+
+
+def _tile_links(tiles: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """Links (a, b) found in the tiles."""
+
+    def links_of(table: pa.Table) -> tuple[list, list]:
+        names, parts = table.column("text_key").to_pylist(), table.column("component").to_pylist()
+        texts = [np.frombuffer(x.as_buffer(), dtype="<u4") for x in table.column("kmers")]
+        side, value = table.column("_side").to_numpy(), table.column("_i").to_numpy()
+        sketch = np.array(table.column("sketch").to_pylist(), dtype=np.int64)
+        marks = list(zip(*(table.column(c).to_pylist() for c in TILE), strict=True))
+        bounds = [0, *(k for k in range(1, len(marks)) if marks[k] != marks[k - 1]), len(marks)]
+        a, b = [], []
+        for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
+            if stop - start < 2 or side[start:stop].min():
+                continue
+            run = slice(start, stop)
+            for x, y in tile_links(texts[run], side[run], parts[run], sketch[run], int(value[start]), plan.least):
+                a.append(names[start + x])
+                b.append(names[start + y])
+        return a, b
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def batch_of(table: pa.Table) -> pa.RecordBatch:
+            a, b = links_of(table)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            # The last tile may go on in the next batch.
+            same = np.logical_and.reduce([pc.equal(held.column(c), held.column(c)[-1]).to_numpy() for c in TILE])
+            cut = int(np.argmax(same))
+            if cut:
+                yield batch_of(held.slice(0, cut))
+                held = held.slice(cut)
+        if held is not None:
+            yield batch_of(held)
+
+    ship(tiles.sparkSession)
+    ordered = tiles.select(*TILE, "_side", "text_key", "component", "sketch", "kmers")
+    return ordered.repartition(*TILE).sortWithinPartitions(*TILE).mapInArrow(compare, "a binary, b binary")
+
+
 def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFrame:
     """Component of each linked text: ``id`` (a text key) and ``component``."""
     texts = stage(
@@ -373,24 +552,19 @@ def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFram
     # Then those not joined to it against several, one from each part of the group.
     part = F.pmod(F.xxhash64("text_key"), F.lit(plan.leaders))
     several = lead(members.withColumn("_part", part), "near_several", "_part")
-    pairs, found = compare(open_rows, several, done, "several")
-    done, links = done.union(pairs), links.union(found)
-    open_rows = apart(open_rows, main, components(links, "near_second"), "several")
-    # Then, among those still apart, leaders of their own, until a round finds no link.
-    rounds = 0
-    while True:
-        leaders = lead(open_rows, f"near_own{rounds}")
-        pairs, found = compare(open_rows, leaders, done, f"own{rounds}")
-        if not found.limit(1).count():
-            return components(links, "near_final")
-        done, links = done.union(pairs), links.union(found)
-        ended = found.select(F.col("a").alias("text_key"), F.col("b").alias("leader"))
-        led = stage(open_rows.join(leaders, GROUP).where("text_key != leader"), f"near_led_own{rounds}")
-        open_rows = stage(
-            led.join(ended, ["text_key", "leader"], "left_anti").select("text_key", *GROUP, "_central"),
-            f"near_open_own{rounds}",
-        )
-        rounds += 1
+    _, found = compare(open_rows, several, done, "several")
+    links = links.union(found)
+    # Then every pair of a group that is not in one component yet.
+    labels = components(links, "near_second").withColumnRenamed("id", "text_key")
+    placed = (
+        members.select("text_key", *GROUP)
+        .join(texts.select("text_key", "n"), "text_key")
+        .join(labels, "text_key", "left")
+        .withColumn("component", F.coalesce("component", "text_key"))
+    )
+    tiles = stage(_tiles(stage(placed, "near_placed"), plan), "near_tiles")
+    full = tiles.join(texts.select("text_key", "sketch"), "text_key").join(kmers_of, "text_key")
+    return components(links.union(stage(_tile_links(full, plan), "near_links_tiles")), "near_final")
 
 
 def classes(docs: DataFrame, plan: OrderMinHash = OrderMinHash()) -> DataFrame:

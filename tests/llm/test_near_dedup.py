@@ -141,3 +141,35 @@ def test_components(spark):
         root[max(find(a), find(b))] = min(find(a), find(b))
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
+
+
+def chained_rows():
+    """Chains in which each text is near the next, and far from most of the others."""
+    rng = random.Random(21)
+    rows = []
+    for chain in range(2):
+        words = sentence(rng, 80).split()
+        for k in range(30):
+            rows.append((100 * chain + k, " ".join(words)))
+            for _ in range(1):
+                words[rng.randrange(len(words))] = sentence(rng, 1)
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("plan", [near_dedup.OrderMinHash(), near_dedup.OrderMinHash(leaders=1, tile=4)])
+def test_chains_stay_whole(some_docs, plan):
+    """Texts that are linked only to texts already joined to a leader, in whole and in many tiles."""
+    rows = chained_rows()
+    got = {}
+    for r in near_dedup.class_report(some_docs(rows), plan).collect():
+        got.setdefault(r.class_id, []).append(r.doc_id)
+    assert {tuple(sorted(v, key=repr)) for v in got.values()} == brute_classes(rows)
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(4)
+    texts = [rng.choice(60, size=n, replace=False).astype("<u4") for n in (1, 9, 30, 45, 60)]
+    left, right = np.array([0, 2, 4]), np.array([1, 3])
+    got = near_dedup.shared_counts(texts, left, right, width=7)
+    assert got.tolist() == [[len(np.intersect1d(texts[a], texts[b])) for b in right] for a in left]
