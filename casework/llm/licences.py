@@ -1,8 +1,12 @@
 """Licences found by sentence and by rule.
 
-A text is cut into sentences and each is normalised to lower-case words. A known
-licence sentence has an identifier; the identifiers of a text, in order and
-without the unknown sentences, are its identifier sequence. A licence rule is a
+A text is cut into sentences and each is normalised to lower-case words. Sentence
+punctuation and blank lines cut; a single line break, a colon, a semicolon or a
+stop before a digit cuts or is a space, so that a wrapped sentence is found as
+well as a notice on a line of its own (comment marks are no words). Of several
+known sentences from one place the longest counts. A known licence sentence has
+an identifier; the identifiers of a text, in order and without the unknown
+sentences, are its identifier sequence. A licence rule is a
 sequence of identifiers and matches where it occurs without a gap. Rules are
 ordered: of two rules for one place the earlier, more specific one counts.
 
@@ -97,24 +101,39 @@ RULES = (
     ("All-rights-reserved", "restricted", ("reserved",)),
 )
 
+#: Sentences that open a grant; a reservation of rights directly before one belongs to it.
+GRANTS = ("bsd-grant", "mit-grant", "isc-grant")
+HEADED = tuple((n, c, ("reserved", *ids)) for n, c, ids in RULES if ids[0] in GRANTS)
+
 #: Strictest first; a text has the class of its strictest licence.
 CLASSES = ("restricted", "copyleft", "permissive")
 
 
-def normalised_sentences(text: str) -> Column:
-    """Sentences of a text column as lower-case words with single spaces."""
-    cut = F.regexp_replace(F.lower(F.col(text)), r"([.!?;:])[ \t]+", "$1\n")
-    return F.transform(
-        F.split(F.coalesce(cut, F.lit("")), "[\n\r]+"),
-        lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")),
-    )
+def normalised_text(text: str) -> Column:
+    """A text column as lower-case words; a bar is a cut and a line break a cut or a space."""
+    out = F.coalesce(F.lower(F.col(text)), F.lit(""))
+    for pattern, mark in (
+        (r"\|", " "),
+        (r"\r\n?", "\n"),
+        # A line without words is blank.
+        (r"\n[^a-z0-9\n]*(?=\n)", "|"),
+        (r"[;:][ \t]+|\.[ \t]+(?=[0-9])", "\n"),
+        (r"[.!?](?:[ \t]+|(?=\n))", "|"),
+        (r"[^a-z0-9|\n]+", " "),
+        (r" ?[|\n][ |\n]*\|[ |\n]*| ?\|[ |\n]*", "|"),
+        (r" ?\n[ \n]*", "\n"),
+    ):
+        out = F.regexp_replace(out, pattern, mark)
+    return F.trim(out)
 
 
 def sentence_ids(text: str) -> Column:
     """Identifiers of the known sentences of a text column, in order."""
     known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    ids = F.transform(normalised_sentences(text), lambda s: F.try_element_at(known, s))
-    return F.filter(ids, lambda i: i.isNotNull())
+    longest = sorted(SENTENCES, key=lambda s: (-len(s), s))
+    pattern = r"(?<![^|\n])(?:" + "|".join(s.replace(" ", r"[ \n]") for s in longest) + r")(?![^|\n])"
+    found = F.regexp_extract_all(normalised_text(text), F.lit(pattern), F.lit(0))
+    return F.transform(found, lambda s: F.element_at(known, F.translate(s, "\n", " ")))
 
 
 def _sequence(ids: Column) -> Column:
@@ -134,7 +153,7 @@ def licences(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     rules = F.array(
         *(
             F.struct(F.lit(n).alias("name"), F.lit(c).alias("class"), F.lit(_rule_text(s)).alias("text"))
-            for n, c, s in RULES
+            for n, c, s in HEADED + RULES
         )
     )
     start = F.struct(
@@ -171,7 +190,7 @@ def _quoted(value: str) -> str:
 
 
 def licences_sql() -> str:
-    """The same result in DuckDB SQL: a chain of replacements instead of a fold."""
+    """The same in DuckDB SQL where no sentence is wrapped: a chain of replacements instead of a fold."""
     sentences = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in SENTENCES.items())
     rest, found = "sequence", []
     for name, kind, ids in RULES:

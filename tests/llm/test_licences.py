@@ -59,3 +59,58 @@ def test_equals_brute_force_and_sql(some_docs):
 def test_edge_rows(docs, no_docs):
     assert licences.licences(docs).count() == len(doc_rows())
     assert licences.licences(no_docs).count() == 0
+
+
+HEADERS = {
+    "MIT": """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+""",
+    "BSD-3-Clause": """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""",
+    "GPL-2.0-or-later": """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+""",
+}
+
+
+def test_wrapped_headers(some_docs):
+    prefixes = ["", "# ", " * ", "// "]
+    rows = [(n, p + h.replace("\n", "\n" + p)) for n, (h, p) in enumerate((h, p) for h in HEADERS.values() for p in prefixes)]
+    got = {r.doc_id: (r.licences, r.licence_class) for r in licences.licences(some_docs(rows)).collect()}
+    kinds = {n: c for n, c, _ in licences.RULES}
+    want = [(name, kinds[name]) for name in HEADERS for _ in prefixes]
+    assert [got[n] for n in range(len(want))] == want
+
+
+def test_blank_lines_and_stops_cut(some_docs):
+    rows = [(0, "Licensed under the\n\nMIT License."), (1, "Licensed under. The ISC license"), (2, "All rights reserved.\nSome prose.")]
+    got = {r.doc_id: r.licences for r in licences.licences(some_docs(rows)).collect()}
+    assert got == {0: "MIT", 1: "", 2: "All-rights-reserved"}
