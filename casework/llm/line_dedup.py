@@ -7,7 +7,8 @@ which tell equal from different; the order among different runs is not needed.
 After each level a suffix whose rank occurs once is dropped, since no longer
 run from there repeats, so the table shrinks to what repeats.
 
-A run counts if it has ``words`` words or more. The runs that are looked up are,
+A run counts if it has ``words`` words or more, where text of scripts without
+spaces counts by its characters. The runs that are looked up are,
 at every line, the shortest counting run that begins there and the shortest that
 ends there: a line lies in some counting repeated run exactly if one of these
 two repeats and lies in it. A run of n lines is named by n and by the ranks of
@@ -35,6 +36,8 @@ from casework.llm.mixing import WORD
 
 #: Words from which a repeated run counts.
 WORDS = 8
+#: Characters of scripts without spaces that count as one more word: about a word's length.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{2}|[\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]{4}"
 KEY = ["_k1", "_k2"]
 RANK = ["_r1", "_r2"]
 
@@ -47,7 +50,7 @@ def _line_table(docs: DataFrame) -> DataFrame:
         *KEY,
         "doc_id",
         "_pos",
-        F.regexp_count("_line", F.lit(WORD)).alias("_words"),
+        (F.regexp_count("_line", F.lit(WORD)) + F.regexp_count("_line", F.lit(UNSPACED))).alias("_words"),
         F.xxhash64("_line").alias("_r1"),
         F.xxhash64(F.lit("second"), "_line").alias("_r2"),
     )

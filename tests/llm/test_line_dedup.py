@@ -84,3 +84,11 @@ def test_edge_rows(docs, no_docs):
 def test_shortest_runs():
     assert line_dedup.shortest_runs([0, 1, 2, 5], [3, 5, 9, 2], 8) == [(0, 2), (1, 2), (2, 1)]
     assert line_dedup.shortest_runs([], [], 8) == []
+
+
+def test_text_without_spaces(some_docs):
+    """A repeated long line goes also where words are not spaced; a short one stays."""
+    long = ["我们在这个项目中使用了许多不同的数据来源和工具", "これはとても長い文章なので繰り返しは一つだけ残ります", "ภาษาไทยไม่มีช่องว่างระหว่างคำในประโยคเดียวกัน"]
+    rows = [(2 * k + n, f"{n}\n{line}\n谢谢") for k, line in enumerate(long) for n in (0, 1)]
+    got = {r.doc_id: r.text for r in line_dedup.deduped(some_docs(rows)).collect()}
+    assert got == {2 * k + n: "0\n" + line + "\n谢谢" if n == 0 else "1" for k, line in enumerate(long) for n in (0, 1)}
