@@ -16,6 +16,7 @@ from casework.llm import (
     sharding,
     toxicity,
     url_filter,
+    vector_codes,
     vector_dedup,
 )
 from casework.llm.common import read_table
@@ -69,6 +70,10 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(read_table(spark, folder, "documents"))
 
 
+def op12_orchard_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.vector_codes(read_table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,10 +92,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_pivot_dedup,
         op9_merkle_fingerprints,
         op10_hilbert_shards,
+        op12_orchard_codes,
         pipeline,
     ]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_licence_scan": licences.licences_sql()}
+    return {"op5_licence_scan": licences.licences_sql(), "op12_orchard_codes": vector_codes.vector_codes_sql()}
