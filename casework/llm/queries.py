@@ -15,6 +15,7 @@ from casework.llm import (
     packing,
     sharding,
     toxicity,
+    turn_repair,
     url_filter,
     vector_codes,
     vector_dedup,
@@ -70,6 +71,10 @@ def op10_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(read_table(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair_report(read_table(spark, folder, "conversations"))
+
+
 def op12_orchard_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.vector_codes(read_table(spark, folder, "embeddings"))
 
@@ -92,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_pivot_dedup,
         op9_merkle_fingerprints,
         op10_hilbert_shards,
+        op11_conversation_repair,
         op12_orchard_codes,
         pipeline,
     ]
