@@ -19,6 +19,10 @@ from casework.sources.staging import Staging
 FIRST_ROW = Window.unboundedPreceding
 
 
+def new_staging(spark: SparkSession) -> Staging:
+    return Staging(spark)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a result once to the shared folder and read it back, which cuts its lineage."""
     return Staging(df.sparkSession).stage(df, name)

@@ -14,6 +14,7 @@ from casework.llm import (
     near_dedup,
     packing,
     sharding,
+    suffix_dedup,
     toxicity,
     turn_repair,
     url_filter,
@@ -79,6 +80,10 @@ def op12_orchard_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.vector_codes(read_table(spark, folder, "embeddings"))
 
 
+def op13_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.repeat_report(read_table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_hilbert_shards,
         op11_conversation_repair,
         op12_orchard_codes,
+        op13_suffix_dedup,
         pipeline,
     ]
     return {f.__name__: f for f in found}
