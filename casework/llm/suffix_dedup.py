@@ -416,7 +416,7 @@ def repeated_spans(docs: DataFrame, plan: SuffixDedup = SuffixDedup()) -> DataFr
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    buckets = max(1, math.ceil(size / BUCKET))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BUCKET))
     homes = min(buckets, MOST_BUCKETS)
     blocks = new_staging(spark).stage_bucketed(_blocks(docs), "suffix_blocks", homes, "block")
 
