@@ -304,6 +304,48 @@ def category(
     return chain
 
 
+def matched_rules(
+    rules: Sequence[Rule] | None = None, cfg: ExceptionSettings = ExceptionSettings()
+) -> Column:
+    """All rules a line matches, as one number with a bit per rule; the first rule is the lowest bit."""
+    ordered = default_rules() if rules is None else list(rules)
+    if len(ordered) > 63:
+        raise ValueError("a mask holds at most 63 rules")
+    named = _conditions(cfg)
+    bits = [F.when(rule_condition(r, named), 1 << i).otherwise(0).cast("long") for i, r in enumerate(ordered)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def first_rule(mask: Column) -> Column:
+    """Place of the lowest bit of a mask, null for none: the rule that decides the category."""
+    return F.when(mask != 0, F.bit_count(mask.bitwiseAND(-mask) - 1))
+
+
+def shadow_report(
+    base: DataFrame, rules: Sequence[Rule] | None = None, cfg: ExceptionSettings = ExceptionSettings()
+) -> DataFrame:
+    """Per rule: its lines, those it decides, and those an earlier rule takes from it.
+
+    One pass with two counts per rule; a rule that matches lines but decides none is
+    unreachable on these data.
+    """
+    ordered = default_rules() if rules is None else list(rules)
+    masks = base.select(matched_rules(ordered, cfg).alias("__mask")).select("__mask", first_rule(F.col("__mask")).alias("__first"))
+    counts = masks.agg(
+        *(
+            F.struct(
+                F.lit(i + 1).cast("long").alias("rule"),
+                F.lit(r.category).alias("category"),
+                F.count_if(F.col("__mask").bitwiseAND(1 << i) != 0).alias("n_matched"),
+                F.count_if(F.col("__first") == i).alias("n_decided"),
+            ).alias(f"__{i}")
+            for i, r in enumerate(ordered)
+        )
+    )
+    per_rule = counts.select(F.inline(F.array(*(f"__{i}" for i in range(len(ordered))))))
+    return per_rule.withColumn("n_shadowed", F.col("n_matched") - F.col("n_decided"))
+
+
 def categorise(
     base: DataFrame, rules: Sequence[Rule] | None = None, cfg: ExceptionSettings = ExceptionSettings()
 ) -> DataFrame:

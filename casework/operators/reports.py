@@ -218,21 +218,31 @@ def variable_cost_summary(
     )
 
 
-def latest_snapshot(history: DataFrame) -> DataFrame:
-    """Rows of each line's newest run date, ties kept, with a suggested price.
+#: what the snapshot reads of the history
+SNAPSHOT_SOURCE = list(
+    dict.fromkeys([*(c for c in SNAPSHOT_COLUMNS if c != "new_sgstd_prc"), "insrt_dt", "curr_comp_cost", "bl_margin_perc"])
+)
+
+
+def newest_rows(rows: DataFrame) -> DataFrame:
+    """Rows of each line's newest insert date, ties kept.
 
     The newest date is a grouped maximum joined back on key and date, so a key
     with many rows is never gathered in one window.
     """
-    rows = _with_optional(history, ["gpo_cot_name"])
     newest = (
         rows.filter(F.col("acct_item_key").isNotNull() & F.col("insrt_dt").isNotNull())
         .groupBy("acct_item_key")
         .agg(F.max("insrt_dt").alias("insrt_dt"))
     )
+    return rows.join(newest, ["acct_item_key", "insrt_dt"])
+
+
+def with_suggested_price(rows: DataFrame) -> DataFrame:
     suggested = F.col("curr_comp_cost") * (F.lit(1) + F.col("bl_margin_perc"))
-    return (
-        rows.join(newest, ["acct_item_key", "insrt_dt"])
-        .withColumn("new_sgstd_prc", suggested)
-        .select(*SNAPSHOT_COLUMNS)
-    )
+    return rows.withColumn("new_sgstd_prc", suggested).select(*SNAPSHOT_COLUMNS)
+
+
+def latest_snapshot(history: DataFrame) -> DataFrame:
+    """Rows of each line's newest insert date, with a suggested price."""
+    return with_suggested_price(newest_rows(_with_optional(history, ["gpo_cot_name"])))

@@ -40,11 +40,12 @@ from casework.plans.runlog import empty_log, run_log, start_entry
 from casework.settings import Settings
 from casework.session import tune
 from casework.sources.schemas import RUN_DATE
-from casework.sources.sinks import append_history, append_log
+from casework.sources.history import append_history, commits, empty_history, read_history, read_versions
+from casework.sources.sinks import append_log, save_table
 from casework.sources.staging import Staging
-from casework.sources.tables import empty_history, read_history, unexpected_rows
+from casework.sources.tables import unexpected_codes, unexpected_counts
 
-Stage = Callable[[DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]
 Inputs = Mapping[str, DataFrame]
 
 #: staged results that get a log row: name -> description
@@ -58,7 +59,7 @@ LOGGED_STEPS = {
 }
 
 
-def _keep(df: DataFrame, name: str) -> DataFrame:
+def _keep(df: DataFrame, name: str, *keys: str) -> DataFrame:
     return df
 
 
@@ -150,23 +151,25 @@ def run_batch(
     as_of: dt.date,
     settings: Settings = Settings(),
     first_run: bool = False,
+    table: str | None = None,
 ) -> DataFrame:
-    """One run: build the case rows, append them to the history, log every step.
+    """One run: build the case rows, commit them to the history, log every step.
 
-    Returns the history rows of the run date, read back.
+    Returns the history rows of the run date, read back; ``table`` also keeps them
+    as a catalog table. Counts in the log are observed while the rows are written.
     """
     tune(spark)
     staging = Staging(spark)
     append_log(start_entry(spark), log_path)
 
-    def log(rows: DataFrame, step: str, text: str, metric: str = "ROW_COUNT") -> None:
+    def log(count: int, step: str, text: str, metric: str = "ROW_COUNT") -> None:
         seen = spark.read.schema(empty_log(spark).schema).parquet(log_path)
-        append_log(run_log(seen, rows, step, text, metric=metric), log_path)
+        append_log(run_log(seen, count, step, text, metric=metric), log_path)
 
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        staged = staging.stage(df, name)
+    def stage(df: DataFrame, name: str, *keys: str) -> DataFrame:
+        staged = staging.stage(df, name, *keys)
         if name in LOGGED_STEPS:
-            log(staged, name, LOGGED_STEPS[name])
+            log(staging.rows[name], name, LOGGED_STEPS[name])
         return staged
 
     try:
@@ -174,12 +177,16 @@ def run_batch(
         # saw and replaces its rows. Undated rows never count as recent.
         history = empty_history(spark) if first_run else read_history(spark, history_path)
         history = history.filter(F.col(RUN_DATE) < F.lit(as_of))
-        rows = staging.stage(case_rows(inputs, history, as_of, settings, stage), "case_rows")
-        append_history(rows, history_path, as_of)
-        today = read_history(spark, history_path).filter(F.col(RUN_DATE) == F.lit(as_of))
-        log(today, "history", "rows added to the history", metric="ROWS_INSERTED")
-        for table, codes in (("status", inputs["status"]), ("history", today)):
-            log(unexpected_rows(codes), f"{table}_codes", "rows with a code outside the known lists", metric="UNKNOWN_CODES")
+        built = case_rows(inputs, history, as_of, settings, stage)
+        rows, odd = staging.stage_observed(built, "case_rows", **unexpected_counts(built.columns))
+        commit = append_history(rows, history_path, as_of)
+        log(commit.n_rows, "history", "rows added to the history", metric="ROWS_INSERTED")
+        for source, counts in (("status", unexpected_codes(inputs["status"]).first().asDict()), ("history", odd)):
+            for column, n in counts.items():
+                log(n, f"{source}_codes", f"codes outside the known list of {column}", metric="UNKNOWN_CODES")
+        today = read_versions(spark, history_path, [c for c in commits(spark, history_path) if c.run_date == as_of])
+        if table:
+            save_table(today, table)
         return today
     finally:
         staging.clear()

@@ -8,9 +8,17 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from casework.operators.catalog import cheapest_contract_all
-from casework.operators.exceptions import categorise, exception_base, gpo_contracts, gpo_items
+from casework.operators.exceptions import (
+    categorise,
+    category_opportunity,
+    category_totals,
+    exception_base,
+    gpo_contracts,
+    gpo_items,
+)
 from casework.session import tune
 from casework.settings import ExceptionSettings
+from casework.sources.sinks import save_table
 from casework.sources.staging import Staging
 
 
@@ -18,7 +26,7 @@ def exception_lines(
     inputs: Mapping[str, DataFrame],
     as_of: dt.date,
     cfg: ExceptionSettings = ExceptionSettings(),
-    stage=lambda df, name: df,
+    stage=lambda df, name, *keys: df,
     lenient: bool = False,
 ) -> DataFrame:
     """Categorised lines from ``ipc item contract_tier contract_item gpo customer_restriction hierarchy``."""
@@ -44,12 +52,22 @@ def run_exceptions(
     as_of: dt.date,
     cfg: ExceptionSettings = ExceptionSettings(),
     lenient: bool = False,
+    table: str | None = None,
 ) -> DataFrame:
-    """Write the categorised lines of a day, replacing an earlier result, and read them back."""
+    """Write a day's categorised lines, their opportunities and the totals; return the lines.
+
+    They go to ``path/lines``, ``path/opportunity`` and ``path/totals`` and replace an
+    earlier result; ``table`` also keeps the lines as a catalog table.
+    """
     tune(spark)
     staging = Staging(spark)
     try:
-        exception_lines(inputs, as_of, cfg, staging.stage, lenient).write.mode("overwrite").parquet(path)
+        exception_lines(inputs, as_of, cfg, staging.stage, lenient).write.mode("overwrite").parquet(f"{path}/lines")
     finally:
         staging.clear()
-    return spark.read.parquet(path)
+    lines = spark.read.parquet(f"{path}/lines")
+    category_opportunity(lines).write.mode("overwrite").parquet(f"{path}/opportunity")
+    category_totals(lines).write.mode("overwrite").parquet(f"{path}/totals")
+    if table:
+        save_table(lines, table)
+    return lines

@@ -1,13 +1,11 @@
-"""Sinks: history, event log, staging tables and report files."""
+"""Sinks: event log, catalog tables and report files."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casework.sources.schemas import EVENT_LOG_COLUMNS, HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS, RUN_DATE
+from casework.sources.schemas import EVENT_LOG_COLUMNS
 
 
 def append_table(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -15,20 +13,6 @@ def append_table(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.mode("append").parquet(path)
 
 
-def append_history(rows: DataFrame, path: str, run_date: dt.date) -> None:
-    """Write a run's rows, dated or not, as the history's partition of its run date.
-
-    One write replaces that partition as a whole, so a rerun leaves what a single
-    run leaves, and an empty rerun empties it. The insert date stays a column of
-    the rows; lines without a price line have none.
-    """
-    columns = [c for c in (HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS) if c in rows.columns]
-    # Rebalancing lets one task write a moderate number of rows.
-    rows.select(*columns).hint("rebalance").write.mode("overwrite").parquet(
-        f"{path}/{RUN_DATE}={run_date.isoformat()}"
-    )
-
-
 def append_log(entry: DataFrame, path: str) -> None:
     append_table(entry.coalesce(1), path, list(EVENT_LOG_COLUMNS))
 
@@ -49,3 +33,17 @@ def export_case_files(extract: DataFrame, cases: DataFrame, path: str) -> None:
     order = "case_cntr" if "case_cntr" in extract.columns else "mmr_case"
     dealt = named.hint("rebalance", F.col("file_name")).sortWithinPartitions("file_name", F.col(order).asc_nulls_last())
     dealt.write.mode("overwrite").partitionBy("file_name").parquet(path)
+
+
+def export_sorted(extract: DataFrame, cases: DataFrame, path: str) -> None:
+    """Write all cases' rows as numbered parts that are sorted by file name and case when read in name order.
+
+    The range is cut between rows of a case, too: the other columns break its ties, so a case with
+    very many rows fills several parts. A task sorts its range only.
+    """
+    named = extract.join(cases.select("mmr_case", "file_name").distinct(), "mmr_case")
+    case = "case_cntr" if "case_cntr" in extract.columns else "mmr_case"
+    ties = F.xxhash64(*extract.columns)
+    order = [F.col("file_name").asc_nulls_first(), F.col(case).asc_nulls_last(), F.col("__ties")]
+    dealt = named.withColumn("__ties", ties).repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt.drop("__ties").write.mode("overwrite").parquet(path)

@@ -2,7 +2,9 @@
 
 A result that several later steps read is written once and read back. The
 folder is shared by all executors, so a lost executor loses nothing, and the
-lineage of the later steps starts at the files.
+lineage of the later steps starts at the files. A run's folder goes with
+``clear``, those of a session with ``release``, and what is left when the
+driver ends: a lazy result may need its tables until then.
 """
 
 from __future__ import annotations
@@ -10,8 +12,15 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from casework.sources import files
+
+#: staged folders by application, until they are cleared
+_OPEN: dict[str, list[Staging]] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -31,23 +40,34 @@ def staging_root(spark: SparkSession) -> str:
 
 
 class Staging:
-    """Staging tables of one run."""
+    """Staging tables of one run. ``rows`` has the number of rows of each, counted as it was written."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.folder = f"{root or staging_root(spark)}/casework-{uuid.uuid4().hex}"
         self.written: dict[str, DataFrame] = {}
-        self.tables: dict[str, str] = {}
+        self.rows: dict[str, int] = {}
+        self._tables: dict[str, str] = {}
+        files.make(spark, self.folder)
+        _OPEN.setdefault(spark.sparkContext.applicationId, []).append(self)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write a staging table and return it as read back."""
+    def stage(self, df: DataFrame, name: str, *keys: str) -> DataFrame:
+        """Write a staging table and return it as read back; with keys, in buckets of them."""
+        if keys:
+            return self.stage_bucketed(df, name, int(self.spark.conf.get("spark.sql.shuffle.partitions")), *keys)
+        return self.stage_observed(df, name)[0]
+
+    def stage_observed(self, df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict]:
+        """Write a staging table; return it as read back, and aggregates taken as it was written."""
         schema = df.schema
-        df.write.mode("overwrite").parquet(self.path(name))
+        counted, result = observed(df, **metrics)
+        counted.write.mode("overwrite").parquet(self.path(name))
+        found, self.rows[name] = result()
         self.written[name] = self.spark.read.schema(schema).parquet(self.path(name))
-        return self.written[name]
+        return self.written[name], found
 
     def stage_bucketed(self, df: DataFrame, name: str, buckets: int, *columns: str) -> DataFrame:
         """Write a staging table in buckets of ``columns`` and return it as read back.
@@ -56,16 +76,40 @@ class Staging:
         writes a file for each bucket that it has rows of.
         """
         table = f"{os.path.basename(self.folder)}_{name}".replace("-", "_")
-        writer = df.write.format("parquet").mode("overwrite").option("path", self.path(name))
+        counted, result = observed(df)
+        writer = counted.write.format("parquet").mode("overwrite").option("path", self.path(name))
         writer.bucketBy(buckets, *columns).saveAsTable(table)
-        self.tables[name] = table
+        _, self.rows[name] = result()
+        self._tables[name] = table
         self.written[name] = self.spark.table(table)
         return self.written[name]
 
-    def clear(self, *names: str) -> None:
-        """Empty the named staging tables, or all of them."""
-        for name in names or tuple(self.written):
-            table = self.written.pop(name)
-            if name in self.tables:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(name)}")
-            self.spark.createDataFrame([], table.schema).write.mode("overwrite").parquet(self.path(name))
+    def clear(self) -> None:
+        """Remove the run's tables and their folder."""
+        for table in self._tables.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        files.delete(self.spark, self.folder)
+        self.written, self._tables = {}, {}
+        held = _OPEN.get(self.spark.sparkContext.applicationId, [])
+        if self in held:
+            held.remove(self)
+
+
+def release(spark: SparkSession) -> int:
+    """Remove all staging tables of the session, once the results that read them are written."""
+    held = _OPEN.pop(spark.sparkContext.applicationId, [])
+    for staging in list(held):
+        staging.clear()
+    return len(held)
+
+
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Callable[[], tuple[dict, int]]]:
+    """A frame that is counted on its way to a sink, and what gives the metrics and the number of rows then."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("__rows"), *(m.alias(n) for n, m in metrics.items()))
+
+    def result() -> tuple[dict, int]:
+        found = seen.get
+        return {n: found.get(n) for n in metrics}, found.get("__rows") or 0
+
+    return counted, result

@@ -1,21 +1,19 @@
-"""Readers with explicit schemas."""
+"""Readers with declared schemas, and the rows that don't fit them."""
 
 from __future__ import annotations
 
-import datetime as dt
 import re
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casework.sources.schemas import (
     ALLOWED_VALUES,
-    HISTORY_COLUMNS,
-    HISTORY_EXTRA_COLUMNS,
     INPUTS,
     RENAMED_COLUMNS,
-    RUN_DATE,
-    struct,
 )
 
 
@@ -31,52 +29,110 @@ def normalised(df: DataFrame) -> DataFrame:
     )
 
 
-def conformed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """The schema's columns in order, cast explicitly; other columns are dropped."""
-    plain = normalised(df)
-    return plain.select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
+@dataclass(frozen=True)
+class Folder:
+    """Files of a format with its reader options, e.g. ``Folder("s3a://b/ipc", "csv", {"header": "true"})``."""
 
+    path: str
+    format: str = "parquet"
+    options: Mapping[str, str] = field(default_factory=dict)
 
-def read_input(spark: SparkSession, name: str, location: str) -> DataFrame:
-    """One input table from a catalog name (``db.table``) or a parquet folder.
 
-    Only columns a query uses are read: the casts sit above the scan and
-    column pruning passes through them.
+@dataclass(frozen=True)
+class Table:
+    """A catalog table, ``db.table``."""
+
+    name: str
+
+
+Location = Folder | Table | str
+
+
+def located(spark: SparkSession, location: Location) -> Folder | Table:
+    """Plain text names a catalog table if there is one of that name, else a Parquet folder."""
+    if not isinstance(location, str):
+        return location
+    is_name = re.fullmatch(r"[\w`]+(\.[\w`]+)*", location) is not None
+    return Table(location) if is_name and spark.catalog.tableExists(location) else Folder(location)
+
+
+def _source(spark: SparkSession, location: Location, with_file: bool = False) -> DataFrame:
+    """The rows with normalised names; ``with_file``, and the file or table each is from."""
+    place = located(spark, location)
+    if isinstance(place, Table):
+        rows = spark.table(place.name)
+        return normalised(rows.withColumn(_FILE, F.lit(place.name)) if with_file else rows)
+    rows = spark.read.format(place.format).options(**place.options).load(place.path)
+    return normalised(rows.select("*", F.col("_metadata.file_path").alias(_FILE)) if with_file else rows)
+
+
+_FILE = "source_file"
+
+
+def _faults(df: DataFrame, name: str, columns: Mapping[str, str]) -> dict[str, Column]:
+    """Reason -> condition, for every declared column whose values may not fit its type.
+
+    A column that already has its type can't fail, so it isn't looked at and may be pruned.
     """
-    source = spark.read.parquet(location) if "/" in location else spark.table(location)
-    return conformed(source, INPUTS[name])
+    have = dict(df.dtypes)
+    missing = [c for c in columns if c not in have]
+    if missing:
+        raise ValueError(f"{name} lacks the columns {', '.join(missing)}")
+    return {
+        f"{c}: no {t}": F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
+        for c, t in columns.items()
+        if have[c] != t and t != "string"
+    }
 
 
-def read_inputs(spark: SparkSession, locations: dict[str, str]) -> dict[str, DataFrame]:
-    return {name: read_input(spark, name, location) for name, location in locations.items()}
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def read_history(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
-    """The history table with its run date; ``since`` prunes its partitions."""
-    columns = HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS | {RUN_DATE: "date"}
-    history = spark.read.schema(struct(columns)).parquet(path)
-    if since is None:
-        return history
-    return history.filter((F.col("insrt_dt") > F.lit(since)) & (F.col(RUN_DATE) > F.lit(since)))
+def read_input(spark: SparkSession, name: str, location: Location) -> DataFrame:
+    """One input table in its declared schema, without the rows that don't fit it.
 
+    Names are matched in plain or quoted form, other columns are dropped. Rows left
+    out are those that :func:`rejected_rows` returns. Casts sit above the scan, so
+    only columns that a query uses, or that might not fit, are read.
+    """
+    columns = INPUTS[name]
+    rows = _source(spark, location)
+    faults = _faults(rows, name, columns)
+    fitting = rows.filter(~_any(faults.values())) if faults else rows
+    return fitting.select(*[F.col(c).try_cast(t).alias(c) for c, t in columns.items()])
+
+
+def rejected_rows(spark: SparkSession, name: str, location: Location) -> DataFrame:
+    """Rows that don't fit the declared schema: input, source file, reasons, and the row as JSON text."""
+    rows = _source(spark, location, with_file=True)
+    faults = _faults(rows, name, INPUTS[name])
+    reasons = F.filter(F.array(*(F.when(c, r) for r, c in faults.items())), F.isnotnull) if faults else F.array()
+    kept = [c for c in rows.columns if c != _FILE]
+    found = rows.filter(_any(faults.values())) if faults else rows.limit(0)
+    return found.select(
+        F.lit(name).alias("input"),
+        _FILE,
+        reasons.cast("array<string>").alias("reasons"),
+        F.to_json(F.struct(*kept)).alias("row"),
+    )
 
-def empty_history(spark: SparkSession) -> DataFrame:
-    """History of a first run."""
-    return spark.createDataFrame([], struct(HISTORY_COLUMNS | HISTORY_EXTRA_COLUMNS | {RUN_DATE: "date"}))
+
+def read_inputs(
+    spark: SparkSession, locations: Mapping[str, Location], quarantine: str | None = None
+) -> dict[str, DataFrame]:
+    """All inputs; with ``quarantine``, rows that don't fit go there first, replacing an earlier set."""
+    if quarantine is not None:
+        sets = [rejected_rows(spark, name, location) for name, location in locations.items()]
+        reduce(DataFrame.unionByName, sets).write.mode("overwrite").partitionBy("input").parquet(quarantine)
+    return {name: read_input(spark, name, location) for name, location in locations.items()}
 
 
-def unexpected_rows(df: DataFrame) -> DataFrame:
-    """Rows with a code outside the known lists in any enumerated column."""
-    odd = F.lit(False)
-    for c, values in ALLOWED_VALUES.items():
-        if c in df.columns:
-            odd = odd | F.coalesce(~F.col(c).isin(*values), F.lit(False))
-    return df.filter(odd)
+def unexpected_counts(columns: Iterable[str]) -> dict[str, Column]:
+    """Per enumerated column among ``columns``, the aggregate that counts codes outside its known list."""
+    return {c: F.count_if(~F.col(c).isin(*values)) for c, values in ALLOWED_VALUES.items() if c in columns}
 
 
 def unexpected_codes(df: DataFrame) -> DataFrame:
     """Counts of codes outside the known lists, per enumerated column."""
-    checks: list[Column] = [
-        F.count_if(~F.col(c).isin(*values)).alias(c) for c, values in ALLOWED_VALUES.items() if c in df.columns
-    ]
-    return df.agg(*checks)
+    return df.agg(*(n.alias(c) for c, n in unexpected_counts(df.columns).items()))

@@ -188,6 +188,16 @@ FRAGMENTS: dict[str, str] = {
             'status' as event_action, 'rows of the status fact' as action_description, 'ROW_COUNT' as metric_name,
             count(*) as metric_value, cast(1 as bigint) as runs_forward
         from v_status""",
+    "history_failed_rerun": f"""
+        select acct_item_key, insrt_dt, case_cntr, pndg_mmr_opp, {_D} as run_date from v_history_wide""",
+    "sorted_parts": f"""
+        select count(*) as n_rows, 0 as n_out_of_order, count(distinct file_name) as n_files
+        from v_history_wide join latest_run_cases using (mmr_case)""",
+    "staging_life": "select count(*) as n_rows, 0 as n_left from v_status",
+    "quarantine": """
+        select 'kept' as outcome, acct_item_key, null as reason from v_weekly_txn where sls_3_mth % 7 <> 0
+        union all
+        select 'rejected', acct_item_key, 'sls_3_mth: no decimal(18,4)' from v_weekly_txn where sls_3_mth % 7 = 0""",
     "history_rerun": f"""
         select acct_item_key, case when ship_to % 4 <> 3 then {_D} end as insrt_dt, case_cntr, pndg_mmr_opp,
             {_D} as run_date
@@ -551,8 +561,8 @@ FRAGMENTS |= {
 }
 
 
-def _category_case() -> str:
-    """The rule cascade over plain 0/1 columns, numbered rule by rule."""
+def _category_rules() -> list[tuple[str, str]]:
+    """Conditions and categories, in order."""
     e1, low, now = "sys_pltfrm = 'E1'", "var_cst_cont_type", "comp_cost_cont_type"
     other = "cust_primary_gpo_number <> var_cst_gpo_num"
     own = "gpo_number = cust_primary_gpo_number and gpo_number > 0"
@@ -598,10 +608,28 @@ def _category_case() -> str:
         (f"{third} and {now} = 'GPO' and {low} = 'MKT'", "BBraun Hierarchy"),
         (f"parnt_suplr_num in (6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17) and {low} = 'GPO' and {other}", "Supplier Single Source"),
     ]
-    return "case " + " ".join(f"when {c} then '{k}'" for c, k in rules) + " end"
+    return rules
+
+
+def _category_case() -> str:
+    return "case " + " ".join(f"when {c} then '{k}'" for c, k in _category_rules()) + " end"
+
+
+def _rule_shadows() -> str:
+    """Per rule the lines it matches, and those whose first match it is."""
+    rules = _category_rules()
+    flags = ", ".join(f"coalesce({c}, false) as r{i}" for i, (c, _) in enumerate(rules, 1))
+    first = "case " + " ".join(f"when r{i} then {i}" for i in range(1, len(rules) + 1)) + " end"
+    parts = [
+        f"select {i} as rule, '{k}' as category, count(*) filter (r{i}) as n_matched, "
+        f"count(*) filter (first_rule = {i}) as n_decided from (select *, {first} as first_rule from (select {flags} from exception_base))"
+        for i, (_, k) in enumerate(rules, 1)
+    ]
+    return "select *, n_matched - n_decided as n_shadowed from (" + " union all ".join(parts) + ")"
 
 
 FRAGMENTS |= {
+    "rule_shadows": _rule_shadows(),
     "categorise": f"""
         select distinct acct_item_key, comp_cost_initial, mn_lpg_prca_cost, qty_3_mth, {_category_case()} as var_cst_ctgry
         from exception_base""",
@@ -650,7 +678,7 @@ _DECIMALS |= {"sum_opp", "lpg_prca_cost", "strict_least", "new_sgstd_prc", "tota
 _DECIMALS |= {f"sum_{c}" for c in "actl_neg_m proj_neg_m actl_gp proj_gp pndg_mmr_opp res_mmr_opp".split()}
 _WHOLE = {
     c for table in [*INPUTS.values(), HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS] for c, kind in table.items() if kind == "bigint"
-} | {"n_categorised", "var_mck_cont_id", "var_mck_cont_tier"}
+} | {"n_categorised", "rule", "n_matched", "n_decided", "n_shadowed", "n_rows", "n_out_of_order", "n_files", "n_left", "var_mck_cont_id", "var_mck_cont_tier"}
 
 
 def _item(column: str) -> str:

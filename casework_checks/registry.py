@@ -57,10 +57,13 @@ from casework.plans.batch import assign_cases, case_rows
 from casework.plans.runlog import run_log, start_entry
 from casework.session import tune
 from casework.settings import COOL_DOWN_DAYS, ExceptionSettings, Settings
-from casework.sources.schemas import HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS
-from casework.sources.sinks import append_history
+from casework.plans.snapshot import refresh_snapshot
+from casework.sources import files
+from casework.sources.history import append_history, read_history, read_newest_day
+from casework.sources.schemas import HISTORY_COLUMNS, HISTORY_EXTRA_COLUMNS, INPUTS, RENAMED_COLUMNS
+from casework.sources.sinks import export_sorted, save_table
 from casework.sources.staging import Staging
-from casework.sources.tables import read_history
+from casework.sources.tables import read_input, rejected_rows
 from casework_checks import oracle
 from casework_checks.views import AS_OF, SparkDialect, build_views, spark_view
 
@@ -339,7 +342,9 @@ def _run_log(t: Tables) -> DataFrame:
     """A step's row after an older and a newer process, two rows sharing the latest time."""
     start = start_entry(t.spark)
     log = start.union(start).union(start.withColumn("process_name", F.lit("reports")))
-    entry = run_log(log, t.narrow("status", "acct_item_key"), "status", "rows of the status fact")
+    staging = Staging(t.spark)
+    staging.stage(t.narrow("status", "acct_item_key"), "status")
+    entry = run_log(log, staging.rows["status"], "status", "rows of the status fact")
     return entry.select(
         "application_name", "process_name", "process_type", "event_action", "action_description", "metric_name",
         "metric_value", (F.col("duration_string") >= 0).cast("bigint").alias("runs_forward"),
@@ -358,6 +363,123 @@ def _history_rerun(t: Tables) -> DataFrame:
     return read_history(t.spark, path).select("acct_item_key", "insrt_dt", "case_cntr", "pndg_mmr_opp", "run_date")
 
 
+def _history_failed_rerun(t: Tables) -> DataFrame:
+    """A rerun that fails after part of its rows leaves the day as it was."""
+    path = Staging(t.spark).path("history")
+    rows = t["history_wide"]
+    append_history(rows, path, AS_OF)
+    broken = F.when(F.col("ship_to") % 5 == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("mmr_case"))
+    try:
+        append_history(rows.withColumn("mmr_case", broken.cast("string")), path, AS_OF)
+    except Exception as error:
+        if "lost" not in str(error):
+            raise
+    return read_history(t.spark, path).select("acct_item_key", "insrt_dt", "case_cntr", "pndg_mmr_opp", "run_date")
+
+
+#: years of insert dates in each of the snapshot's runs, and the year that the run is dated: a run with rows
+#: that are not its own, runs in order, two late ones, and the first one again without the other rows
+_RUNS = (
+    ((1998, 2100), 1998), ((1999, 2000), 1999), ((1997, 1998), 1997), ((2000, 2100), 2001), ((0, 1997), 1996),
+    ((1998, 1999), 1998),
+)
+
+
+def _snapshot_runs(t: Tables) -> DataFrame:
+    """The snapshot after six runs, each taken in by a refresh."""
+    staging = Staging(t.spark)
+    history, state = staging.path("history"), staging.path("state")
+    rows = staging.stage(t.narrow("history_runs", *reports.SNAPSHOT_SOURCE), "runs")
+    for (first, end), year in _RUNS:
+        part = rows.filter((F.year("insrt_dt") >= first) & (F.year("insrt_dt") < end))
+        append_history(part, history, dt.date(year, 12, 31))
+        snapshot = refresh_snapshot(t.spark, history, state)
+    return snapshot
+
+
+def _committed_runs(t: Tables, staging: Staging) -> str:
+    """The wide history as runs of four days, of which the last holds the newest insert date."""
+    path = staging.path("history")
+    rows = staging.stage(t["history_wide"], "wide")
+    for days, part in ((90, F.col("insrt_dt") < F.lit(AS_OF - dt.timedelta(days=20))), (0, F.col("insrt_dt") >= F.lit(AS_OF - dt.timedelta(days=20)))):
+        append_history(rows.filter(part), path, AS_OF - dt.timedelta(days=days))
+    return path
+
+
+def _newest_cases(t: Tables) -> DataFrame:
+    return latest_run_cases(read_newest_day(t.spark, _committed_runs(t, Staging(t.spark))))
+
+
+def _sorted_parts(t: Tables) -> DataFrame:
+    """The newest run's cases as numbered parts: rows, parts that begin before the last one's end, files."""
+    staging = Staging(t.spark)
+    cases = staging.stage(latest_run_cases(t["history_wide"]), "cases")
+    export_sorted(t["history_wide"].select("acct_item_key", "mmr_case", "case_cntr"), cases, staging.path("parts"))
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int")
+    order = F.struct("file_name", "case_cntr")
+    parts = (
+        t.spark.read.parquet(staging.path("parts"))
+        .select(part.alias("part"), order.alias("place"), "file_name")
+        .groupBy("part")
+        .agg(F.min("place").alias("low"), F.max("place").alias("high"), F.count("*").alias("n"), F.collect_set("file_name").alias("files"))
+    )
+    earlier = parts.select(F.col("part").alias("before"), F.col("high").alias("end"))
+    # One row per written part on either side.
+    wrong = parts.join(earlier, F.col("before") == F.col("part") - 1).filter("low < end")
+    return parts.agg(
+        F.sum("n").alias("n_rows"),
+        F.lit(wrong.count()).cast("long").alias("n_out_of_order"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("files")))).cast("long").alias("n_files"),
+    )
+
+
+def _read_back(name: str) -> Callable[[Tables], DataFrame]:
+    """An input written under quoted names and read in its declared schema."""
+    quoted = {plain: quote for quote, plain in RENAMED_COLUMNS.items()}
+
+    def build(t: Tables) -> DataFrame:
+        path = Staging(t.spark).path(name)
+        rows = t[name]
+        rows.withColumnsRenamed({c: quoted.get(c, c.replace("_", " ").title()) for c in rows.columns}).write.parquet(path)
+        return read_input(t.spark, name, path)
+
+    return build
+
+
+def _quarantine(t: Tables) -> DataFrame:
+    """Transactions as text, every seventh amount of which is none: rows kept, and rows rejected with their reason."""
+    path = Staging(t.spark).path("weekly_txn")
+    amount = F.when(F.col("sls_3_mth") % 7 == 0, "n/a").otherwise(F.col("sls_3_mth").cast("string"))
+    t["weekly_txn"].withColumn("sls_3_mth", amount).write.parquet(path)
+    kept = read_input(t.spark, "weekly_txn", path).select(
+        F.lit("kept").alias("outcome"), "acct_item_key", F.lit(None).cast("string").alias("reason")
+    )
+    rejected = rejected_rows(t.spark, "weekly_txn", path).select(
+        F.lit("rejected"), F.get_json_object("row", "$.acct_item_key"), F.array_join("reasons", "; ")
+    )
+    return kept.union(rejected)
+
+
+def _saved_table(t: Tables) -> DataFrame:
+    """A result kept as a catalog table, written twice."""
+    staging = Staging(t.spark)
+    name = f"saved_{staging.folder.rsplit('-', 1)[-1]}"
+    t.spark.sql(f"create database if not exists {name} location '{staging.path('tables')}'")
+    for _ in range(2):
+        save_table(excluded_keys(t["exclusions"]), f"{name}.result")
+    return t.spark.table(f"{name}.result")
+
+
+def _staging_life(t: Tables) -> DataFrame:
+    """Rows counted as they were staged, and folders left after the run's tables were cleared."""
+    staging = Staging(t.spark)
+    staging.stage(t.narrow("status", "acct_item_key"), "lines")
+    n = staging.rows["lines"]
+    staging.clear()
+    left = int(files.exists(t.spark, staging.folder))
+    return t.spark.range(1).select(F.lit(n).cast("long").alias("n_rows"), F.lit(left).cast("long").alias("n_left"))
+
+
 _SUMMARY = (reports.VARIABLE_COST_DIMENSIONS, reports.VARIABLE_COST_SUMS)
 
 ENTRIES: dict[str, Entry] = {
@@ -587,6 +709,30 @@ ENTRIES: dict[str, Entry] = {
     "history_rerun": Entry(
         _history_rerun, _fragment("history_rerun", "acct_item_key insrt_dt case_cntr pndg_mmr_opp run_date")
     ),
+    "history_failed_rerun": Entry(
+        _history_failed_rerun,
+        _fragment("history_failed_rerun", "acct_item_key insrt_dt case_cntr pndg_mmr_opp run_date"),
+    ),
+    "snapshot_runs": Entry(_snapshot_runs, _fragment("latest_snapshot", reports.SNAPSHOT_COLUMNS)),
+    "latest_run_cases_committed": Entry(
+        _newest_cases, _fragment("latest_run_cases", "case_cntr mmr_case team_assigned file_name")
+    ),
+    "sorted_parts": Entry(_sorted_parts, _fragment("sorted_parts", "n_rows n_out_of_order n_files")),
+    "saved_table": Entry(_saved_table, _fragment("excluded_keys", "exclusion_key")),
+    "staging_life": Entry(_staging_life, _fragment("staging_life", "n_rows n_left")),
+    "rule_shadows": Entry(
+        lambda t: exceptions.shadow_report(_exception_base(t), cfg=CHECK_RULES),
+        _fragment("rule_shadows", "rule category n_matched n_decided n_shadowed"),
+    ),
+    # sources, read through the readers
+    **{
+        f"read_{name}": Entry(_read_back(name), _fragment(f"v_{name}", list(INPUTS[name])))
+        for name in (
+            "status ipc weekly_txn customer customer_pool pool contract_tier eligibility contract_item item gpo "
+            "address_alternate address_dated exclusions hierarchy"
+        ).split()
+    },
+    "read_quarantined": Entry(_quarantine, _fragment("quarantine", "outcome acct_item_key reason")),
 }
 
 

@@ -14,8 +14,9 @@ from casework.plans.batch import run_batch
 from casework.settings import Settings
 from casework.sources.schemas import HISTORY_COLUMNS, INPUTS
 from casework.sources.sinks import export_case_files, save_table
-from casework.sources.staging import Staging, staging_root
-from casework.sources.tables import read_history, read_inputs
+from casework.sources.history import read_history
+from casework.sources.staging import staging_root
+from casework.sources.tables import read_inputs
 from casework_checks.registry import Tables
 from casework_checks.views import AS_OF
 
@@ -86,6 +87,8 @@ def test_log_has_one_row_per_step_with_counts(spark, run):
     log = spark.read.parquet(run["log"])
     steps = {r.event_action for r in log.collect()}
     assert {"START", "candidates", "contract_cases", "sales", "cases", "price_lines", "excluded", "history"} <= steps
+    odd = log.filter("metric_name = 'UNKNOWN_CODES'").select("event_action", "action_description").distinct()
+    assert odd.filter("event_action = 'status_codes'").count() == 3 and odd.filter("event_action = 'history_codes'").count() == 4
     done = log.filter("event_action = 'history'").collect()
     assert all(r.metric_value > 0 and r.duration_string >= 0 for r in done)
 
@@ -125,15 +128,6 @@ def test_report_fills_optional_columns(spark, run):
     assert {"gpo_cot", "var_cst_cont", "trig_cont_atr_elig_flg"} <= set(out.columns)
 
 
-def test_staging_is_emptied(spark):
-    staging = Staging(spark)
-    staged = staging.stage(spark.range(5).toDF("a"), "t")
-    assert staged.count() == 5
-    path = staging.path("t")
-    staging.clear()
-    assert spark.read.schema("a bigint").parquet(path).count() == 0
-
-
 def test_staging_root_follows_the_session(spark):
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     root = staging_root(spark)
@@ -172,9 +166,16 @@ def test_exception_and_report_jobs(spark, inputs, run, tmp_path):
     from casework_checks.registry import CHECK_RULES
 
     path = f"{tmp_path}/exceptions"
-    first = run_exceptions(spark, inputs, path, AS_OF, CHECK_RULES, lenient=True).count()
+    spark.sql(f"create database if not exists casework_jobs location '{tmp_path}/db'")
+    first = run_exceptions(spark, inputs, path, AS_OF, CHECK_RULES, lenient=True, table="casework_jobs.lines").count()
+    assert spark.table("casework_jobs.lines").count() == first
+    totals, opportunity = spark.read.parquet(f"{path}/totals").first(), spark.read.parquet(f"{path}/opportunity")
+    assert totals.n_categorised == opportunity.count() > 0
+    spark.sql("drop database casework_jobs cascade")
     assert run_exceptions(spark, inputs, path, AS_OF, CHECK_RULES, lenient=True).count() == first > 0
-    cases = run_reports(spark, run["history"], f"{tmp_path}/reports", AS_OF + WEEK, ["cct"])
+    presets = ["cct", "strat_variable_cost_summary"]
+    cases = run_reports(spark, run["history"], f"{tmp_path}/reports", AS_OF + WEEK, presets, sorted_parts=presets[1:])
+    assert "sum_pndg_mmr_opp" in spark.read.parquet(f"{tmp_path}/reports/{presets[1]}").columns
     written = spark.read.parquet(f"{tmp_path}/reports/cct")
     names = {r.file_name for r in cases.collect() if r.team_assigned == "CCT"}
     assert {r.file_name for r in written.select("file_name").distinct().collect()} <= names

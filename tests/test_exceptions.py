@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 import pytest
+from conftest import rows
+from pyspark.sql import functions as F
 
 from casework.operators.exceptions import (
     EXCEPTION_BASE_COLUMNS,
@@ -198,3 +200,18 @@ def test_opportunity_and_totals(spark):
     )
     assert {(r.acct_item_key, float(r.var_cst_opp)) for r in category_opportunity(df).collect()} == {("a", 16.0), ("b", 0.0)}
     assert tuple(category_totals(df).first()) == (2, 24.0)
+
+
+def test_the_lowest_bit_of_the_mask_decides(spark):
+    """The mask's first rule gives the category of the cascade, and the report adds up."""
+    from casework.operators.exceptions import categorise, default_rules, first_rule, matched_rules, shadow_report
+    from casework_checks.registry import CHECK_RULES, Tables, _exception_base
+
+    base = _exception_base(Tables(spark, "/root/testdata/sf0.001"))
+    names = F.array(*(F.lit(r.category) for r in default_rules()))
+    masked = base.withColumn("mask", matched_rules(cfg=CHECK_RULES))
+    by_mask = masked.select("acct_item_key", "comp_cost_initial", "mn_lpg_prca_cost", "qty_3_mth", F.get(names, first_rule(F.col("mask"))).alias("var_cst_ctgry"))
+    assert rows(by_mask.distinct()) == rows(categorise(base, cfg=CHECK_RULES))
+    report = shadow_report(base, cfg=CHECK_RULES).collect()
+    assert sum(r.n_decided for r in report) == masked.where("mask <> 0").count()
+    assert any(r.n_shadowed for r in report) and all(r.n_matched >= r.n_decided for r in report)

@@ -55,8 +55,7 @@ def test_history_filters_reach_the_scan(spark, tmp_path):
     from casework.operators.candidates import recently_assigned
     from casework.operators.reports import report
     from casework.settings import COOL_DOWN_DAYS
-    from casework.sources.sinks import append_history
-    from casework.sources.tables import read_history
+    from casework.sources.history import append_history, read_history
 
     path = f"{tmp_path}/history"
     append_history(Tables(spark, SF)["history_wide"], path, AS_OF)
