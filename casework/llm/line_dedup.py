@@ -46,11 +46,14 @@ def _line_table(docs: DataFrame) -> DataFrame:
     lines = docs.select(
         *key_columns("doc_id", "text"), "doc_id", F.posexplode(F.split("text", "\n")).alias("_pos", "_line")
     )
+    # Two Han or four Thai characters take at least four bytes more than characters, so most lines have none.
+    may = F.octet_length("_line") - F.length("_line") >= 4
+    unspaced = F.when(may, F.regexp_count("_line", F.lit(UNSPACED))).otherwise(0)
     return lines.select(
         *KEY,
         "doc_id",
         "_pos",
-        (F.regexp_count("_line", F.lit(WORD)) + F.regexp_count("_line", F.lit(UNSPACED))).alias("_words"),
+        (F.regexp_count("_line", F.lit(WORD)) + unspaced).alias("_words"),
         F.xxhash64("_line").alias("_r1"),
         F.xxhash64(F.lit("second"), "_line").alias("_r2"),
     )
