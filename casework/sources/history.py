@@ -77,8 +77,8 @@ def append_history(rows: DataFrame, path: str, run_date: dt.date) -> Commit:
 
 def _publish(spark: SparkSession, path: str, commit: Commit) -> None:
     """Make a written version the one that is read; its file appears as a whole or not at all."""
-    row = tuple(getattr(commit, c.split()[0]) for c in _COMMIT_COLUMNS.split(", "))
-    spark.createDataFrame([row], _COMMIT_COLUMNS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+    row = [F.lit(getattr(commit, c)).cast(t).alias(c) for c, t in (x.split() for x in _COMMIT_COLUMNS.split(", "))]
+    spark.range(1).coalesce(1).select(*row).write.mode("append").parquet(f"{path}/commits")
 
 
 def read_versions(spark: SparkSession, path: str, chosen: Iterable[Commit]) -> DataFrame:
