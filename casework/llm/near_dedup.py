@@ -11,11 +11,15 @@ Texts that share a value are candidates. To join most of them early, texts of a
 value's group are compared with leaders. The first leader is the most central
 text, whose k-mers the others have most often (the original of a family, as a
 rule). Texts not joined to it are compared with the most central ones of
-``leaders`` parts of the group. Then every pair of a group that is not yet in one
-component is compared, open texts with joined ones too, in tiles of ``tile`` by
-``tile`` texts. A pair is left out only if it is in one component already, if its
-lengths or its number of shared k-mers cannot reach ``least``, or if the two share
-an earlier value, in whose group they meet.
+``leaders`` parts of the group. Then the texts of all groups that are not one
+component yet are compared by a prefix filter: in the order of their number among
+these texts, two texts of similarity ``least`` have one of their rarest k-mers in
+common, of about a ninth of the shorter and a fifth of the longer. A k-mer of one
+text only meets nobody, so texts that differ in more than that meet nobody at all,
+however large their group. The texts of a k-mer are compared in tiles of ``tile``
+by ``tile``, where a pair is left out only if it is in one component already, if its
+lengths or its number of shared k-mers cannot reach ``least``, or if the two have
+a rarer k-mer of their prefixes in common, where they meet.
 
 Candidates are verified: their labelled k-mers are aligned within a band that no
 alignment of similarity ``least`` can leave, and the similarity is the aligned
@@ -39,7 +43,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casework.llm.common import key_columns, ship, stage
@@ -48,9 +52,9 @@ from casework.llm.components import components
 KEY = ["_k1", "_k2"]
 #: Texts that share a sketch value.
 GROUP = ["_i", "_value"]
-#: Texts of a group that have a length class and are open, or in its main component.
+#: Texts of a k-mer that have a length class and are open, or in its main component.
 CELL = ["_band", "_open", "_chunk"]
-TILE = [*GROUP, "_tile"]
+TILE = ["_value", "_tile"]
 #: Bytes of text hashed at a time, to bound a task's memory.
 BLOCK = 1 << 20
 
@@ -348,27 +352,84 @@ def shared_counts(texts: list[np.ndarray], left: np.ndarray, right: np.ndarray,
     return out
 
 
+def prefix_sizes(n: Column, least: float) -> tuple[Column, Column]:
+    """Of how many of its rarest k-mers a text shares one with any longer, and with any shorter, near text.
+
+    Of the shorter of two texts of similarity ``least`` and the longer one, such prefixes in one common
+    order have a k-mer in common: with ``s`` shared k-mers needed, two prefixes of n - s + 1 do.
+    """
+    shorter = n - F.ceil(n * (2 * least / (1 + least)) - 1e-9) + 1
+    longer = n - F.ceil(n * least - 1e-9) + 1
+    return shorter.cast("int"), longer.cast("int")
+
+
+def _numbers(kmers_of: DataFrame) -> DataFrame:
+    """The different k-mer numbers of each text, and how many they are."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                found = np.unique(np.frombuffer(raw.as_buffer(), dtype="<u4")).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key], pa.binary()), pa.array([found], pa.list_(pa.int64()))], names=["text_key", "numbers"]
+                )
+
+    flat = kmers_of.select("text_key", "kmers").mapInArrow(number, "text_key binary, numbers array<long>")
+    return flat.select("text_key", F.size("numbers").alias("_different"), F.explode("numbers").alias("_value"))
+
+
+def _prefixes(texts: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """Per text the k-mers of its prefix that other texts have too, rarest first, as ``prefix``.
+
+    ``texts`` has text_key, n and component. The first ``_short`` of them meet longer texts, all of them
+    shorter ones. K-mers of one text only stand first in the order and meet nobody, so they just count.
+    """
+    each = stage(_numbers(kmers_of.join(texts.select("text_key"), "text_key", "left_semi")), "near_numbers")
+    often = stage(each.groupBy("_value").agg(F.count("*").alias("_df")).where("_df > 1"), "near_often")
+    shared = (
+        each.join(often, "_value")
+        .groupBy("text_key", "_different")
+        .agg(F.sort_array(F.collect_list(F.struct("_df", "_value"))).alias("_order"))
+    )
+    alone = F.col("_different") - F.size("_order")
+    short, long = (F.greatest(size - alone, F.lit(0)) for size in prefix_sizes(F.col("n"), plan.least))
+    return (
+        texts.join(shared, "text_key")
+        .select("text_key", "n", "component", short.alias("_short"), F.slice("_order", F.lit(1), long)["_value"].alias("prefix"))
+        .where(F.size("prefix") > 0)
+    )
+
+
 def tile_links(
-    texts: list[np.ndarray], side: np.ndarray, component: list, sketch: np.ndarray, value: int, least: float
+    keys: list[bytes],
+    texts: list[np.ndarray],
+    side: np.ndarray,
+    component: list,
+    prefixes: list[tuple[int, list[int]]],
+    value: int,
+    least: float,
 ) -> list[tuple[int, int]]:
-    """Links that join the components of a tile's texts, among the pairs that meet in sketch value ``value``."""
+    """Links that join the components of a tile's texts, among the pairs that meet in k-mer ``value`` first.
+
+    Side 0 has the shorter text of a pair, side 1 the longer; of equally long ones the lesser key is on side 0.
+    """
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    alone = not len(right)
-    if alone:
-        right = left
+    if not len(left) or not len(right):
+        return []
     sizes = np.array([len(t) for t in texts])
+    rank = np.empty(len(keys), dtype=np.int64)
+    rank[sorted(range(len(keys)), key=keys.__getitem__)] = np.arange(len(keys))
     shared = shared_counts(texts, left, right)
     total = sizes[left][:, None] + sizes[right][None, :]
     likely = shared * (1 + least) >= least * total - 1e-6
     names = np.unique(np.array(component, dtype=object), return_inverse=True)[1]
     likely &= names[left][:, None] != names[right][None, :]
-    if alone:
-        likely = np.triu(likely, 1)
+    same = sizes[left][:, None] == sizes[right][None, :]
+    likely &= (sizes[left][:, None] < sizes[right][None, :]) | (same & (rank[left][:, None] < rank[right][None, :]))
     r, c = np.nonzero(likely)
     # The surest first, so that the others are mostly joined by then.
     order = np.argsort(-(shared[r, c] / total[r, c]), kind="stable")
-    r, c = left[r[order]], right[c[order]]
-    meets = (sketch[r] == sketch[c]).argmax(axis=1) == value
+    sets = {int(j): set(prefixes[j][1]) for j in np.unique(right[c])}
     root = list(range(int(names.max()) + 1))
 
     def find(x: int) -> int:
@@ -378,69 +439,68 @@ def tile_links(
         return x
 
     found = []
-    for x, y in zip(r[meets].tolist(), c[meets].tolist(), strict=True):
+    for x, y in zip(left[r[order]].tolist(), right[c[order]].tolist(), strict=True):
         a, b = find(names[x]), find(names[y])
-        if a != b and aligned_similarity(texts[x], texts[y], least) > 0:
+        if a == b:
+            continue
+        short, prefix = prefixes[x]
+        if next((k for k in prefix[:short] if k in sets[y]), None) == value and aligned_similarity(texts[x], texts[y], least) > 0:
             root[a] = b
             found.append((x, y))
     return found
 
 
-def _tiles(members: DataFrame, plan: OrderMinHash) -> DataFrame:
-    """Members of the groups that are not one component, once for each tile they are in.
+def _tiles(lists: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """Texts of the k-mers whose texts are not one component, once for each tile they are in.
 
-    ``members`` has text_key, n, component and the group. The pairs of a group's main
-    component need no tile; neither do lengths that are more than one class apart.
+    ``lists`` has text_key, n, component, the k-mer ``_value`` and ``_in_short``: whether the text may be
+    the shorter of a pair there. The pairs of a k-mer's main component need no tile; neither do lengths
+    that are more than one class apart.
     """
-    counts = members.groupBy(*GROUP, "component").agg(F.count("*").alias("_n"))
+    counts = lists.groupBy("_value", "component").agg(F.count("*").alias("_n"))
     mains = stage(
-        counts.groupBy(*GROUP)
+        counts.groupBy("_value")
         .agg(F.max(F.struct("_n", "component")).alias("_most"), F.sum("_n").alias("_size"))
         .where("_most._n < _size")
-        .select(*GROUP, F.col("_most.component").alias("_main"), "_size"),
+        .select("_value", F.col("_most.component").alias("_main"), "_size"),
         "near_mains",
     )
     small = F.col("_size") <= plan.tile
     # Slightly wider classes than the bound, so that rounding cannot part a pair by two.
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(1.01 / plan.least)).cast("int")
+    sides = F.when(F.col("_in_short"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
     sided = stage(
-        members.join(mains, GROUP).select(
+        lists.join(mains, "_value").select(
             "text_key",
             "component",
-            *GROUP,
+            "_value",
+            F.explode(sides).alias("_side"),
             F.when(small, 0).otherwise(band).alias("_band"),
             (small | (F.col("component") != F.col("_main"))).alias("_open"),
         ),
         "near_sided",
     )
     cells = stage(
-        sided.groupBy(*GROUP, "_band", "_open").agg(F.ceil(F.count("*") / plan.tile).cast("int").alias("_chunks")),
+        sided.groupBy("_value", "_side", "_band", "_open").agg(F.ceil(F.count("*") / plan.tile).cast("int").alias("_chunks")),
         "near_cells",
     )
     each = cells.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-    first = each.where("_open").select(*GROUP, *(F.col(c).alias(f"{c}1") for c in CELL))
-    second = each.select(*GROUP, *(F.col(c).alias(f"{c}2") for c in CELL))
-    same = (F.col("_band1") == F.col("_band2")) & (F.col("_chunk1") == F.col("_chunk2")) & F.col("_open2")
-    later = F.struct("_band1", "_chunk1") <= F.struct("_band2", "_chunk2")
+    shorter, longer = (
+        each.where(F.col("_side") == k).select("_value", *(F.col(c).alias(f"{c}{k}") for c in CELL)) for k in (0, 1)
+    )
     pairs = stage(
-        first.join(second, GROUP)
-        .where((F.abs(F.col("_band1") - F.col("_band2")) <= 1) & (~F.col("_open2") | later))
-        .select(
-            *GROUP,
-            *(f"{c}{e}" for e in (1, 2) for c in CELL),
-            F.concat_ws(",", "_band1", "_chunk1", "_band2", "_chunk2", F.col("_open2").cast("string")).alias("_tile"),
-            same.alias("_same"),
-        ),
+        shorter.join(longer, "_value")
+        .where((F.col("_band1") - F.col("_band0")).isin(0, 1) & (F.col("_open0") | F.col("_open1")))
+        .select("*", F.concat_ws(",", *(F.col(f"{c}{k}").cast("string") for k in (0, 1) for c in CELL)).alias("_tile")),
         "near_tile_pairs",
     )
     ends = [
-        p.select(*TILE, *(F.col(f"{c}{e}").alias(c) for c in CELL), F.lit(e - 1).alias("_side"))
-        for e, p in ((1, pairs), (2, pairs.where("not _same")))
+        pairs.select("_value", "_tile", F.lit(k).alias("_side"), *(F.col(f"{c}{k}").alias(c) for c in CELL)) for k in (0, 1)
     ]
-    placed = sided.join(cells, [*GROUP, "_band", "_open"]).withColumn(
+    placed = sided.join(cells, ["_value", "_side", "_band", "_open"]).withColumn(
         "_chunk", F.pmod(F.xxhash64("text_key"), F.col("_chunks")).cast("int")
     )
-    return placed.join(ends[0].union(ends[1]), [*GROUP, *CELL]).select(*TILE, "_side", "text_key", "component")
+    return placed.join(ends[0].union(ends[1]), ["_value", "_side", *CELL]).select(*TILE, "_side", "text_key", "component")
 
 
 def _tile_links(tiles: DataFrame, plan: OrderMinHash) -> DataFrame:
@@ -449,16 +509,14 @@ def _tile_links(tiles: DataFrame, plan: OrderMinHash) -> DataFrame:
     def links_of(table: pa.Table) -> tuple[list, list]:
         names, parts = table.column("text_key").to_pylist(), table.column("component").to_pylist()
         texts = [np.frombuffer(x.as_buffer(), dtype="<u4") for x in table.column("kmers")]
-        side, value = table.column("_side").to_numpy(), table.column("_i").to_numpy()
-        sketch = np.array(table.column("sketch").to_pylist(), dtype=np.int64)
+        side, value = table.column("_side").to_numpy(), table.column("_value").to_numpy()
+        prefixes = list(zip(table.column("_short").to_pylist(), table.column("prefix").to_pylist(), strict=True))
         marks = list(zip(*(table.column(c).to_pylist() for c in TILE), strict=True))
         bounds = [0, *(k for k in range(1, len(marks)) if marks[k] != marks[k - 1]), len(marks)]
         a, b = [], []
         for start, stop in zip(bounds[:-1], bounds[1:], strict=True):
-            if stop - start < 2 or side[start:stop].min():
-                continue
             run = slice(start, stop)
-            for x, y in tile_links(texts[run], side[run], parts[run], sketch[run], int(value[start]), plan.least):
+            for x, y in tile_links(names[run], texts[run], side[run], parts[run], prefixes[run], int(value[start]), plan.least):
                 a.append(names[start + x])
                 b.append(names[start + y])
         return a, b
@@ -485,10 +543,17 @@ def _tile_links(tiles: DataFrame, plan: OrderMinHash) -> DataFrame:
             yield batch_of(held)
 
     ship(tiles.sparkSession)
-    ordered = tiles.select(*TILE, "_side", "text_key", "component", "sketch", "kmers")
+    ordered = tiles.select(*TILE, "_side", "text_key", "component", "_short", "prefix", "kmers")
     return ordered.repartition(*TILE).sortWithinPartitions(*TILE).mapInArrow(compare, "a binary, b binary")
 
 
+def _unjoined(members: DataFrame) -> DataFrame:
+    """Texts of the groups that are not one component: text_key, n, component."""
+    counts = members.groupBy(*GROUP, "component").agg(F.count("*").alias("_n"))
+    mixed = counts.groupBy(*GROUP).agg(F.count("*").alias("_parts")).where("_parts > 1").select(*GROUP)
+    return stage(members.join(mixed, GROUP).select("text_key", "n", "component").distinct(), "near_unjoined")
+
+
 def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFrame:
     """Component of each linked text: ``id`` (a text key) and ``component``."""
     texts = stage(
@@ -562,8 +627,12 @@ def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFram
         .join(labels, "text_key", "left")
         .withColumn("component", F.coalesce("component", "text_key"))
     )
-    tiles = stage(_tiles(stage(placed, "near_placed"), plan), "near_tiles")
-    full = tiles.join(texts.select("text_key", "sketch"), "text_key").join(kmers_of, "text_key")
+    prefixes = stage(_prefixes(_unjoined(stage(placed, "near_placed")), kmers_of, plan), "near_prefixes")
+    lists = prefixes.select(
+        "text_key", "n", "component", "_short", F.posexplode("prefix").alias("_at", "_value")
+    ).withColumn("_in_short", F.col("_at") < F.col("_short"))
+    tiles = stage(_tiles(lists, plan), "near_tiles")
+    full = tiles.join(prefixes.select("text_key", "_short", "prefix"), "text_key").join(kmers_of, "text_key")
     return components(links.union(stage(_tile_links(full, plan), "near_links_tiles")), "near_final")
 
 

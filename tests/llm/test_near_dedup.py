@@ -173,3 +173,59 @@ def test_shared_counts():
     left, right = np.array([0, 2, 4]), np.array([1, 3])
     got = near_dedup.shared_counts(texts, left, right, width=7)
     assert got.tolist() == [[len(np.intersect1d(texts[a], texts[b])) for b in right] for a in left]
+
+
+def brute_jaccard_links(texts, least):
+    sets = {k: set(v) for k, v in texts.items()}
+    keys = sorted(sets)
+    return {
+        (a, b)
+        for i, a in enumerate(keys)
+        for b in keys[:i]
+        if len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])
+    }
+
+
+@pytest.mark.parametrize("tile", [2, 128])
+def test_every_near_pair_meets_in_a_tile(spark, tile):
+    """All pairs of at least 0.8 in different components are on the two sides of a tile, with a common prefix k-mer."""
+    rng = random.Random(tile)
+    plan = near_dedup.OrderMinHash(tile=tile)
+    texts = {}
+    for family in range(6):
+        base = rng.sample(range(10_000), rng.randint(5, 60))
+        for k in range(12):
+            kept = [x for x in base if rng.random() > 0.08]
+            texts[bytes([family, k])] = np.array(kept + rng.sample(range(10_000), rng.randint(0, 6)) or [1], dtype="<u4")
+    rows = [(k, len(v), bytes([i % 5]), v.tobytes()) for i, (k, v) in enumerate(texts.items())]
+    df = spark.createDataFrame(rows, "text_key binary, n long, component binary, kmers binary")
+    prefixes = near_dedup._prefixes(df.select("text_key", "n", "component"), df.select("text_key", "kmers"), plan)
+    lists = prefixes.selectExpr("text_key", "n", "component", "_short", "posexplode(prefix) as (_at, _value)")
+    tiles = near_dedup._tiles(lists.selectExpr("*", "_at < _short as _in_short"), plan).collect()
+    sides = {}
+    for r in tiles:
+        sides.setdefault((r._value, r._tile), ([], []))[r._side].append(bytes(r.text_key))
+    met = {tuple(sorted((a, b), reverse=True)) for left, right in sides.values() for a in left for b in right if a != b}
+    component = {k: i % 5 for i, k in enumerate(texts)}
+    near = {p for p in brute_jaccard_links(texts, 0.8) if component[p[0]] != component[p[1]]}
+    assert near and near <= met
+
+
+def unlinked_group(spark, n):
+    """``n`` texts that share two thirds of their k-mers and have the others alone."""
+    common = list(range(100))
+    rows = [
+        (i.to_bytes(4, "big"), 150, i.to_bytes(4, "big"), np.array(common + [1000 + 50 * i + j for j in range(50)], dtype="<u4").tobytes())
+        for i in range(n)
+    ]
+    return spark.createDataFrame(rows, "text_key binary, n long, component binary, kmers binary")
+
+
+def test_rows_grow_with_a_group_of_unlinked_texts(spark):
+    plan, counts = near_dedup.OrderMinHash(), []
+    for n in (512, 1024, 2048):
+        df = unlinked_group(spark, n)
+        prefixes = near_dedup._prefixes(df.select("text_key", "n", "component"), df.select("text_key", "kmers"), plan)
+        lists = prefixes.selectExpr("text_key", "n", "component", "_short", "posexplode(prefix) as (_at, _value)")
+        counts.append(near_dedup._tiles(lists.selectExpr("*", "_at < _short as _in_short"), plan).count())
+    assert counts[2] <= 2.2 * counts[1] + 100 and counts[1] <= 2.2 * counts[0] + 100
