@@ -16,10 +16,11 @@ component yet are compared by a prefix filter: in the order of their number amon
 these texts, two texts of similarity ``least`` have one of their rarest k-mers in
 common, of about a ninth of the shorter and a fifth of the longer. A k-mer of one
 text only meets nobody, so texts that differ in more than that meet nobody at all,
-however large their group. The texts of a k-mer are compared in tiles of ``tile``
-by ``tile``, where a pair is left out only if it is in one component already, if its
-lengths or its number of shared k-mers cannot reach ``least``, or if the two have
-a rarer k-mer of their prefixes in common, where they meet.
+however large their group. The texts of a k-mer are paired one by one if few of them
+are open, else compared in tiles of ``tile`` by ``tile``. A pair is left out only if it
+is in one component already, if its lengths, its places in the two orders or its number
+of shared k-mers cannot reach ``least``, or if the two have a rarer k-mer of their
+prefixes in common, where they meet.
 
 Candidates are verified: their labelled k-mers are aligned within a band that no
 alignment of similarity ``least`` can leave, and the similarity is the aligned
@@ -55,6 +56,8 @@ GROUP = ["_i", "_value"]
 #: Texts of a k-mer that have a length class and are open, or in its main component.
 CELL = ["_band", "_open", "_chunk"]
 TILE = ["_value", "_tile"]
+#: Open texts of a k-mer up to which each is paired with the others one by one.
+FEW = 8
 #: Bytes of text hashed at a time, to bound a task's memory.
 BLOCK = 1 << 20
 
@@ -395,7 +398,10 @@ def _prefixes(texts: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) -> Data
     short, long = (F.greatest(size - alone, F.lit(0)) for size in prefix_sizes(F.col("n"), plan.least))
     return (
         texts.join(shared, "text_key")
-        .select("text_key", "n", "component", short.alias("_short"), F.slice("_order", F.lit(1), long)["_value"].alias("prefix"))
+        .select(
+            "text_key", "n", "component", alone.alias("_alone"), short.alias("_short"),
+            F.slice("_order", F.lit(1), long)["_value"].alias("prefix"),
+        )
         .where(F.size("prefix") > 0)
     )
 
@@ -450,35 +456,93 @@ def tile_links(
     return found
 
 
-def _tiles(lists: DataFrame, plan: OrderMinHash) -> DataFrame:
-    """Texts of the k-mers whose texts are not one component, once for each tile they are in.
+def _lists(prefixes: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """The texts of each k-mer ``_value`` of the prefixes, on the sides where they may stand.
 
-    ``lists`` has text_key, n, component, the k-mer ``_value`` and ``_in_short``: whether the text may be
-    the shorter of a pair there. The pairs of a k-mer's main component need no tile; neither do lengths
-    that are more than one class apart.
+    Side 0 is the shorter text of a pair. ``_pos`` is the k-mer's place in the text's order and ``_prev`` the
+    k-mer before it: two texts with the same one have met there. ``_open`` are the texts that may still have to
+    meet the others: all but those of the largest component, or all but those of the commonest ``_prev``. K-mers
+    without open texts are left out.
     """
-    counts = lists.groupBy("_value", "component").agg(F.count("*").alias("_n"))
-    mains = stage(
-        counts.groupBy("_value")
-        .agg(F.max(F.struct("_n", "component")).alias("_most"), F.sum("_n").alias("_size"))
-        .where("_most._n < _size")
-        .select("_value", F.col("_most.component").alias("_main"), "_size"),
+    flat = prefixes.select(
+        "text_key", "n", "component", "_alone", "_short", "prefix", F.posexplode("prefix").alias("_at", "_value")
+    ).select(
+        "text_key",
+        "n",
+        "component",
+        "_value",
+        (F.col("_alone") + F.col("_at") + 1).alias("_pos"),
+        F.when(F.col("_at") > 0, F.get("prefix", F.col("_at") - 1)).alias("_prev"),
+        (F.col("_at") < F.col("_short")).alias("_in_short"),
+    )
+    joined = flat.groupBy("_value", "component").agg(F.count("*").alias("_n"))
+    mains = joined.groupBy("_value").agg(F.max(F.struct("_n", "component")).alias("_main"), F.sum("_n").alias("_size"))
+    met = (
+        flat.where("_prev is not null")
+        .groupBy("_value", "_prev")
+        .agg(F.count("*").alias("_n"))
+        .groupBy("_value")
+        .agg(F.max(F.struct("_n", "_prev")).alias("_before"))
+    )
+    by_component = F.col("_main._n") >= F.coalesce("_before._n", F.lit(0))
+    closed = F.when(by_component, F.col("_main._n")).otherwise(F.col("_before._n"))
+    kept = stage(
+        mains.join(met, "_value", "left")
+        .select(
+            "_value",
+            "_size",
+            (F.col("_size") - closed).alias("_opens"),
+            F.when(by_component, F.col("_main.component")).alias("_main"),
+            F.when(~by_component, F.col("_before._prev")).alias("_before"),
+        )
+        .where("_opens > 0"),
         "near_mains",
     )
-    small = F.col("_size") <= plan.tile
+    shut = F.coalesce(F.col("component") == F.col("_main"), F.lit(False)) | F.coalesce(
+        F.col("_prev") == F.col("_before"), F.lit(False)
+    )
+    sides = F.when(F.col("_in_short"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    few = (F.col("_opens") <= FEW) | (F.col("_size") <= 4 * FEW)
+    return flat.join(kept, "_value").select(
+        "text_key", "n", "component", "_value", "_pos", "_prev", F.explode(sides).alias("_side"), (~shut).alias("_open"), few.alias("_few")
+    )
+
+
+def _few_pairs(lists: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """Pairs (a, b) of the k-mers with few open texts, each open one with all others, that may be similar.
+
+    A pair that is similar passes in the first k-mer it has in common: behind it, enough k-mers are left.
+    """
+    columns = ["text_key", "n", "component", "_pos", "_prev", "_open"]
+    shorter, longer = (
+        lists.where(F.col("_few") & (F.col("_side") == k)).select("_value", *(F.col(c).alias(f"{c}{k}") for c in columns))
+        for k in (0, 1)
+    )
+    needed = plan.least / (1 + plan.least) * (F.col("n0") + F.col("n1")) - 1e-6
+    may = (
+        (F.col("component0") != F.col("component1"))
+        & ~F.coalesce(F.col("_prev0") == F.col("_prev1"), F.lit(False))
+        & (F.struct("n0", "text_key0") < F.struct("n1", "text_key1"))
+        & (F.least(F.col("n0") - F.col("_pos0"), F.col("n1") - F.col("_pos1")) + 1 >= needed)
+        & (F.col("n0") >= needed)
+    )
+    sides = ((shorter.where("_open0"), longer), (shorter.where("not _open0"), longer.where("_open1")))
+    pairs = [
+        x.join(y, (x["_value"] == y["_value"]) & may).select(F.col("text_key0").alias("a"), F.col("text_key1").alias("b"))
+        for x, y in sides
+    ]
+    return pairs[0].union(pairs[1]).distinct()
+
+
+def _tiles(lists: DataFrame, plan: OrderMinHash) -> DataFrame:
+    """Texts of the k-mers with many open texts, once for each tile they are in.
+
+    Two texts that are not open need no tile; neither do lengths that are more than one class apart.
+    """
     # Slightly wider classes than the bound, so that rounding cannot part a pair by two.
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(1.01 / plan.least)).cast("int")
-    sides = F.when(F.col("_in_short"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
     sided = stage(
-        lists.join(mains, "_value").select(
-            "text_key",
-            "component",
-            "_value",
-            F.explode(sides).alias("_side"),
-            F.when(small, 0).otherwise(band).alias("_band"),
-            (small | (F.col("component") != F.col("_main"))).alias("_open"),
-        ),
-        "near_sided",
+        lists.where("not _few").select("text_key", "component", "_value", "_side", band.alias("_band"), "_open"), "near_sided"
     )
     cells = stage(
         sided.groupBy("_value", "_side", "_band", "_open").agg(F.ceil(F.count("*") / plan.tile).cast("int").alias("_chunks")),
@@ -628,9 +692,9 @@ def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFram
         .withColumn("component", F.coalesce("component", "text_key"))
     )
     prefixes = stage(_prefixes(_unjoined(stage(placed, "near_placed")), kmers_of, plan), "near_prefixes")
-    lists = prefixes.select(
-        "text_key", "n", "component", "_short", F.posexplode("prefix").alias("_at", "_value")
-    ).withColumn("_in_short", F.col("_at") < F.col("_short"))
+    lists = stage(_lists(prefixes, plan), "near_lists")
+    pairs = stage(_few_pairs(lists, plan), "near_pairs_few")
+    links = links.union(stage(_verified(pairs, kmers_of, plan), "near_links_few"))
     tiles = stage(_tiles(lists, plan), "near_tiles")
     full = tiles.join(prefixes.select("text_key", "_short", "prefix"), "text_key").join(kmers_of, "text_key")
     return components(links.union(stage(_tile_links(full, plan), "near_links_tiles")), "near_final")

@@ -186,10 +186,11 @@ def brute_jaccard_links(texts, least):
     }
 
 
-@pytest.mark.parametrize("tile", [2, 128])
-def test_every_near_pair_meets_in_a_tile(spark, tile):
-    """All pairs of at least 0.8 in different components are on the two sides of a tile, with a common prefix k-mer."""
-    rng = random.Random(tile)
+@pytest.mark.parametrize("tile, few", [(2, 0), (128, 0), (8, 2), (128, 8), (128, 100)])
+def test_every_near_pair_is_paired_or_meets_in_a_tile(spark, monkeypatch, tile, few):
+    """All pairs of at least 0.8 in different components, whichever way their k-mers take."""
+    monkeypatch.setattr(near_dedup, "FEW", few)
+    rng = random.Random(tile + few)
     plan = near_dedup.OrderMinHash(tile=tile)
     texts = {}
     for family in range(6):
@@ -200,12 +201,12 @@ def test_every_near_pair_meets_in_a_tile(spark, tile):
     rows = [(k, len(v), bytes([i % 5]), v.tobytes()) for i, (k, v) in enumerate(texts.items())]
     df = spark.createDataFrame(rows, "text_key binary, n long, component binary, kmers binary")
     prefixes = near_dedup._prefixes(df.select("text_key", "n", "component"), df.select("text_key", "kmers"), plan)
-    lists = prefixes.selectExpr("text_key", "n", "component", "_short", "posexplode(prefix) as (_at, _value)")
-    tiles = near_dedup._tiles(lists.selectExpr("*", "_at < _short as _in_short"), plan).collect()
+    lists = near_dedup._lists(prefixes, plan)
     sides = {}
-    for r in tiles:
+    for r in near_dedup._tiles(lists, plan).collect():
         sides.setdefault((r._value, r._tile), ([], []))[r._side].append(bytes(r.text_key))
-    met = {tuple(sorted((a, b), reverse=True)) for left, right in sides.values() for a in left for b in right if a != b}
+    paired = {tuple(sorted((bytes(r.a), bytes(r.b)), reverse=True)) for r in near_dedup._few_pairs(lists, plan).collect()}
+    met = paired | {tuple(sorted((a, b), reverse=True)) for left, right in sides.values() for a in left for b in right if a != b}
     component = {k: i % 5 for i, k in enumerate(texts)}
     near = {p for p in brute_jaccard_links(texts, 0.8) if component[p[0]] != component[p[1]]}
     assert near and near <= met
@@ -226,6 +227,6 @@ def test_rows_grow_with_a_group_of_unlinked_texts(spark):
     for n in (512, 1024, 2048):
         df = unlinked_group(spark, n)
         prefixes = near_dedup._prefixes(df.select("text_key", "n", "component"), df.select("text_key", "kmers"), plan)
-        lists = prefixes.selectExpr("text_key", "n", "component", "_short", "posexplode(prefix) as (_at, _value)")
-        counts.append(near_dedup._tiles(lists.selectExpr("*", "_at < _short as _in_short"), plan).count())
+        lists = near_dedup._lists(prefixes, plan)
+        counts.append(near_dedup._tiles(lists, plan).count() + near_dedup._few_pairs(lists, plan).count())
     assert counts[2] <= 2.2 * counts[1] + 100 and counts[1] <= 2.2 * counts[0] + 100
