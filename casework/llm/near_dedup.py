@@ -297,19 +297,21 @@ def _samples(kmers_of: DataFrame, plan: OrderMinHash) -> DataFrame:
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, values = [], []
+            keys, sizes, values = [], [], []
             for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 found = np.frombuffer(raw.as_buffer(), dtype="<u4")
                 if len(found) > plan.sample:
                     found = np.partition(found, plan.sample)[: plan.sample]
                 keys += [key] * len(found)
+                sizes += [len(found)] * len(found)
                 values.append(found.astype(np.int64))
             if keys:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.binary()), pa.array(np.concatenate(values))], names=["text_key", "kmer"]
+                    [pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(np.concatenate(values))],
+                    names=["text_key", "size", "kmer"],
                 )
 
-    return kmers_of.mapInArrow(sample, "text_key binary, kmer long")
+    return kmers_of.mapInArrow(sample, "text_key binary, size long, kmer long")
 
 
 def _centrality(members: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) -> DataFrame:
@@ -321,8 +323,10 @@ def _centrality(members: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) ->
     samples = stage(
         _samples(kmers_of.join(crowded, "text_key", "left_semi").select("text_key", "kmers"), plan), "near_samples"
     )
-    common = stage(samples.groupBy("kmer").agg(F.count("*").alias("_df")), "near_sample_counts")
-    return samples.join(common, "kmer").groupBy("text_key").agg(F.avg("_df").alias("_central"))
+    # A k-mer of one text only counts once, without a join.
+    common = samples.groupBy("kmer").agg(F.count("*").alias("_df")).where("_df > 1")
+    found = samples.join(common, "kmer").groupBy("text_key", "size").agg(F.sum("_df").alias("_sum"), F.count("*").alias("_n"))
+    return found.select("text_key", ((F.col("_sum") + F.col("size") - F.col("_n")) / F.col("size")).alias("_central"))
 
 
 def shared_counts(texts: list[np.ndarray], left: np.ndarray, right: np.ndarray, width: int = 8192) -> np.ndarray:
@@ -388,7 +392,7 @@ def _prefixes(texts: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) -> Data
     shorter ones. K-mers of one text only stand first in the order and meet nobody, so they just count.
     """
     each = stage(_numbers(kmers_of.join(texts.select("text_key"), "text_key", "left_semi")), "near_numbers")
-    often = stage(each.groupBy("_value").agg(F.count("*").alias("_df")).where("_df > 1"), "near_often")
+    often = each.groupBy("_value").agg(F.count("*").alias("_df")).where("_df > 1")
     shared = (
         each.join(often, "_value")
         .groupBy("text_key", "_different")
@@ -613,8 +617,8 @@ def _tile_links(tiles: DataFrame, plan: OrderMinHash) -> DataFrame:
 
 def _unjoined(members: DataFrame) -> DataFrame:
     """Texts of the groups that are not one component: text_key, n, component."""
-    counts = members.groupBy(*GROUP, "component").agg(F.count("*").alias("_n"))
-    mixed = counts.groupBy(*GROUP).agg(F.count("*").alias("_parts")).where("_parts > 1").select(*GROUP)
+    ends = members.groupBy(*GROUP).agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    mixed = ends.where("_low != _high").select(*GROUP)
     return stage(members.join(mixed, GROUP).select("text_key", "n", "component").distinct(), "near_unjoined")
 
 
@@ -636,10 +640,9 @@ def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFram
     members = stage(values.join(shared, GROUP), "near_values")
     wanted = texts.join(members.select("text_key").distinct(), "text_key", "left_semi").select("text_key", *KEY)
     kmers_of = stage(_labelled_kmers(docs, wanted, plan), "near_kmers")
-    central = stage(_centrality(members, kmers_of, plan), "near_central")
     members = stage(
         members.select("text_key", *GROUP)
-        .join(central, "text_key", "left")
+        .join(_centrality(members, kmers_of, plan), "text_key", "left")
         .select("text_key", *GROUP, F.coalesce("_central", F.lit(0.0)).alias("_central")),
         "near_members",
     )
@@ -660,25 +663,18 @@ def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFram
         pairs = stage(pairs, f"near_pairs_{name}")
         return pairs, stage(_verified(pairs, kmers_of, plan), f"near_links_{name}")
 
-    def apart(open_rows: DataFrame, leaders: DataFrame, labels: DataFrame, name: str) -> DataFrame:
-        """Rows whose text is in another component than the leader of the group."""
-        mine = labels.select(F.col("id").alias("text_key"), F.col("component").alias("_mine"))
-        theirs = labels.select(F.col("id").alias("leader"), F.col("component").alias("_theirs"))
-        led = stage(leaders.join(theirs, "leader", "left"), f"near_led_{name}")
-        return stage(
-            open_rows.join(led, GROUP)
-            .where("text_key != leader")
-            .join(mine, "text_key", "left")
-            .where(~F.coalesce(F.col("_mine") == F.col("_theirs"), F.lit(False)))
-            .select("text_key", *GROUP, "_central"),
-            f"near_open_{name}",
-        )
-
     # First every text against the most central one of its groups.
     main = lead(members, "near_main")
     done, links = compare(members, main, None, "main")
-    open_rows = apart(members, main, components(links, "near_first"), "main")
-    # Then those not joined to it against several, one from each part of the group.
+    # Then those without a link to it against several, one from each part of the group.
+    linked = links.select(F.col("a").alias("text_key"), F.col("b").alias("leader"))
+    open_rows = stage(
+        members.join(main, GROUP)
+        .where("text_key != leader")
+        .join(linked, ["text_key", "leader"], "left_anti")
+        .select("text_key", *GROUP, "_central"),
+        "near_open",
+    )
     part = F.pmod(F.xxhash64("text_key"), F.lit(plan.leaders))
     several = lead(members.withColumn("_part", part), "near_several", "_part")
     _, found = compare(open_rows, several, done, "several")
