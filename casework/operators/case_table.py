@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +34,14 @@ def line_facts(
     excluded: DataFrame,
     addresses: DataFrame,
     settings: Settings = Settings(),
+    stage: Callable[..., DataFrame] = lambda df, name, *keys: df,
 ) -> DataFrame:
     """Everything attached to a case line, keyed by line, account and platform.
 
     Only the four key columns of the status fact take part, so the wide rows
     are not moved by any of these joins. Case lines without sales drop out.
+    With all sides staged in buckets of the line key, the four joins on it need
+    no shuffle; ``stage`` does that for the two that are made here.
     """
     case_keys = cases.select(
         "acct_item_key", *_assignment_columns(cases), F.col("pool_num").alias("__case_pool")
@@ -49,13 +54,15 @@ def line_facts(
         *["var_mck_cont_id", "pcca_cnctd", "vrcst_cont_excld"],
         *["team_assigned", "pool_num", "mmr_case", "insrt_dt", "case_cntr"],
     ).distinct()
+    prices = stage(prices, "line_prices", "acct_item_key")
+    tiers = stage(attributes.withColumnsRenamed({"curr_mck_cont": "af_curr_mck_cont"}), "line_tiers", "acct_item_key")
     by_line = (
         status.select(*_LINE_KEY)
         .distinct()
         .join(case_keys, "acct_item_key")
         .join(sales, "acct_item_key")
         .join(prices, "acct_item_key", "left")
-        .join(attributes.withColumnsRenamed({"curr_mck_cont": "af_curr_mck_cont"}), "acct_item_key", "left")
+        .join(tiers, "acct_item_key", "left")
     )
     pool_names = pools.select(
         F.col("pool_num").alias("__case_pool"), "acct_or_bill_to", "pool_name"

@@ -79,7 +79,7 @@ def assign_cases(
     contract_cases = stage(
         top_contract_cases(increases, settings.top_contracts, settings.min_case_impact), "contract_cases"
     )
-    sales = stage(attach_sales(candidates, inputs["weekly_txn"]), "sales")
+    sales = stage(attach_sales(candidates, inputs["weekly_txn"]), "sales", "acct_item_key")
     lines = with_pool(candidates, pools)
     residual = stage(residual_lines(lines, contract_cases), "residual")
     cases = union_cases(
@@ -87,20 +87,30 @@ def assign_cases(
         pool_cases(residual, history, as_of, settings.pool_cool_down_days, settings.ignore_null_pools),
         top_customer_vendor_cases(residual, sales, settings.top_customer_vendors),
     )
-    return stage(cases, "cases"), pools, sales
+    return stage(cases, "cases", "acct_item_key"), pools, sales
 
 
 def case_rows(
-    inputs: Inputs, history: DataFrame, as_of: dt.date, settings: Settings = Settings(), stage: Stage = _keep
+    inputs: Inputs,
+    history: DataFrame,
+    as_of: dt.date,
+    settings: Settings = Settings(),
+    stage: Stage = _keep,
+    assigned: tuple[DataFrame, DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """The rows one run adds to the history.
 
     ``stage`` is called on every result that more than one later step reads;
     pass ``Staging.stage`` to write these once. Without it everything is one
-    plan and shared parts are computed again where they are used.
+    plan and shared parts are computed again where they are used. ``assigned``
+    is what :func:`assign_cases` returned, where it has run already.
     """
-    plain_cases, pools, sales = assign_cases(inputs, history, as_of, settings, stage)
-    status = inputs["status"]
+    plain_cases, pools, sales = assigned or assign_cases(inputs, history, as_of, settings, stage)
+    # All later steps need the status of the case lines only: the wide rows are read once and
+    # few of them kept. Frames on the line key are staged in buckets of it, so their joins
+    # move nothing.
+    case_keys = plain_cases.select("acct_item_key").distinct()
+    status = stage(inputs["status"].join(case_keys, "acct_item_key", "left_semi"), "case_lines", "acct_item_key")
     cases = case_number(plain_cases, as_of)
     priced = attach_price_source(cases, status)
     catalog = inputs["ipc"], priced, inputs["contract_tier"], inputs["customer"]
@@ -139,6 +149,7 @@ def case_rows(
             settings.legacy_address_platform,
         ),
         settings,
+        stage,
     )
     return build_case_table(status, facts, settings)
 

@@ -230,7 +230,11 @@ def _price_lines_v2(t: Tables) -> DataFrame:
 def _case_table(settings: Settings) -> Callable[[Tables], DataFrame]:
     def build(t: Tables) -> DataFrame:
         staging = Staging(t.spark)
-        return case_rows(_case_inputs(t, staging), t["history"], AS_OF, settings, staging.stage)
+        inputs = t.inputs()
+        narrow = inputs | {"status": _candidate_status(t)}
+        assigned = assign_cases(narrow, t["history"], AS_OF, settings, staging.stage)
+        inputs |= {"ipc": staging.stage(t["ipc"], "ipc")}
+        return case_rows(inputs, t["history"], AS_OF, settings, staging.stage, assigned)
 
     return build
 

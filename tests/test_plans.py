@@ -64,3 +64,17 @@ def test_history_filters_reach_the_scan(spark, tmp_path):
     for plan in (cooling, physical(report(history, "cct", AS_OF))):
         assert re.search(r"PartitionFilters: \[[^]]*run_date", plan)
     assert "ReadSchema: struct<acct_item_key:string,team_assigned:string,insrt_dt:date>" in cooling
+
+
+def test_line_key_joins_of_the_case_table_move_nothing(spark, tables):
+    """All sides of the joins on the line key are bucketed, so no frame is dealt out by that key alone."""
+    from casework.plans.batch import case_rows
+    from casework.sources.staging import Staging
+    from casework_checks.registry import ALL_TEAMS
+
+    staging = Staging(spark)
+    plan = physical(case_rows(tables.inputs(), tables["history"], AS_OF, ALL_TEAMS, staging.stage))
+    assert not re.search(r"Exchange hashpartitioning\(acct_item_key#\d+, \d+\)", plan)
+    bucketed = [name for name in staging.written if re.search(rf"spark_catalog\.default\.\w+_{name}\[", plan)]
+    assert {"case_lines", "cases", "sales", "line_prices", "line_tiers"} <= set(bucketed)
+    staging.clear()
