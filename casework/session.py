@@ -13,9 +13,8 @@ _RUNTIME = {
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the operators are written for, unless already set."""
-    explicit = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    """Set the runtime options the operators are written for, unless the session has a value of its own."""
     for key, value in _RUNTIME.items():
-        if key not in explicit:
+        if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark
