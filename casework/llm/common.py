@@ -93,11 +93,14 @@ def range_totals(rows: DataFrame, order: list[str], totals: list[str], name: str
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python this package, once per context, and small batches of texts."""
+    """Give the executors' Python this package, once per context.
+
+    Where the session has no batch size of its own it gets one of a thousand rows: Spark's
+    ten thousand texts and their copies are too much for a Python worker.
+    """
     context = spark.sparkContext
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if context.getConf().get(batch) is None and spark.conf.get(batch) == "10000":
-        # Ten thousand texts and their copies are too much for a Python worker.
+    if spark.conf.get(batch, None) is None:
         spark.conf.set(batch, "1000")
     if any(os.path.basename(f) == "casework_code.zip" for f in context._python_includes):
         return

@@ -5,8 +5,8 @@ between two cuts is encoded by itself. So the ids of a text are those of its
 space-separated chunks in turn. Chunks recur far more often than texts: a worker
 keeps the ids of chunks it has seen and encodes only new ones, with the ranks
 read from the tokenizer's own file. Texts in which the cut is not safe (runs of
-white space with a space in them, or characters outside the ranges below) go to
-the tokenizer whole.
+white space with a space in them, characters outside the ranges below, or a special
+token's name, which is one id) go to the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -56,11 +56,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # A special token's name within a text is ordinary text.
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {t["content"] for t in model["added_tokens"]}
+        self.special = special = tuple(t["content"] for t in model["added_tokens"])
         letters = _byte_letters()
         ranks = {
             bytes(letters[c] for c in token): rank
@@ -75,7 +73,7 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit numbers."""
-        if not _PLAIN.match(text) or _SPACE_RUN.search(text):
+        if not _PLAIN.match(text) or _SPACE_RUN.search(text) or any(name in text for name in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         first, *rest = text.split(" ")
         return np.array(self.encode_chunk(first), dtype="<u4").tobytes() + b"".join(

@@ -6,7 +6,11 @@ the path starts with the rule's, and the longest fitting rule decides.
 Where no listed rule fits, mined rules do. A URL becomes a set of tokens (scheme,
 host labels, path words, query keys). FP-growth over the labelled pages finds
 frequent token combinations together with the label; a combination is a rule if
-its confidence and support reach the bounds and no part of it is as confident.
+its confidence and support reach the bounds, if as many blocked pages would hardly be
+met by chance, and if no part of it is as confident. Chance is a binomial tail at the
+share of blocked pages, by its Chernoff bound, times the number of combinations tried:
+where labels say nothing about URLs no rule is found, and a token on a few pages, all
+of them blocked, is one.
 Rules match through an inverted index: each rule is filed under its rarest token,
 a page looks up its tokens there, and a hit must hold the rule's other tokens.
 The most confident hit decides; without one the page is allowed.
@@ -19,6 +23,7 @@ if one says so. Only the named columns are read.
 
 from __future__ import annotations
 
+import math
 import string
 from dataclasses import dataclass
 
@@ -44,10 +49,13 @@ class ListedRule:
 
 @dataclass(frozen=True)
 class Mining:
-    support: float = 0.005
+    #: Least share of the labelled pages, which bounds the combinations tried on large tables.
+    support: float = 0.0005
     confidence: float = 0.6
     #: Pages that a rule must hold on, however few are labelled.
-    pages: int = 20
+    pages: int = 4
+    #: Chance that a table without any association gives a rule at all.
+    chance: float = 0.01
 
 
 LISTED = (
@@ -112,6 +120,17 @@ def fitting_rule(rules: tuple[ListedRule, ...]) -> Column:
     return F.get(fits, F.lit(0))
 
 
+def log_chance(n: Column, share: Column, base: float) -> Column:
+    """Logarithm of a bound on the chance that of ``n`` pages at least ``share`` are blocked, at rate ``base``.
+
+    Chernoff's bound on the binomial tail, zero where the share is no more than the rate.
+    """
+    if base >= 1:
+        return F.lit(0.0)
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / F.lit(1 - base))).otherwise(0.0)
+    return F.when(share > base, -n * (share * F.log(share / F.lit(base)) + rest)).otherwise(0.0)
+
+
 def mined_rules(tokens: DataFrame, labels: DataFrame, mining: Mining = Mining()) -> DataFrame:
     """Rules (antecedent, confidence, support, key) that lead to blocking.
 
@@ -124,17 +143,19 @@ def mined_rules(tokens: DataFrame, labels: DataFrame, mining: Mining = Mining())
         ),
         "url_baskets",
     )
-    labelled = baskets.count()
-    if not labelled:
+    labelled, blocked = baskets.agg(F.count("*"), F.count_if(F.array_contains("items", BLOCK))).first()
+    if not blocked:
         return tokens.sparkSession.createDataFrame(
             [], "antecedent array<string>, confidence double, support double, key string"
         )
     support = min(1.0, max(mining.support, mining.pages / labelled))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=mining.confidence).fit(baskets)
+    tried = model.freqItemsets.where(~F.array_contains("items", BLOCK)).count()
+    on = F.round(F.col("support") * labelled / F.col("confidence"))
     rules = stage(
-        model.associationRules.where(F.array_contains("consequent", BLOCK)).select(
-            F.sort_array("antecedent").alias("antecedent"), "confidence", "support"
-        ),
+        model.associationRules.where(F.array_contains("consequent", BLOCK))
+        .where(log_chance(on, F.col("confidence"), blocked / labelled) + math.log(max(tried, 1)) <= math.log(mining.chance))
+        .select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support"),
         "url_rules",
     )
     # A rule is redundant if leaving out one token loses no confidence.

@@ -7,6 +7,7 @@ import pytest
 from casework.llm import packing
 from casework.llm.queries import vocabulary
 from casework.llm.tokens import Encoder
+from tokenizers import Tokenizer
 
 from .conftest import doc_rows
 
@@ -18,10 +19,12 @@ def tokenizer():
 
 @pytest.mark.parametrize(
     "text",
-    ["", " ", "a  b", "don't 's'll it's", "x\n\n y\tz ", "é̀ ½ ² 中文 ١٢", "<|endoftext|> here", "a b c", "ß,ñ. Ça va?"],
+    ["", " ", "a  b", "don't 's'll it's", "x\n\n y\tz ", "é̀ ½ ² 中文 ١٢", "<|endoftext|> here", "hello <|endoftext|> world",
+     "a<|endoftext|>", "<|endoftext|", "<|endoftext|><|endoftext|>", "a b c", "ß,ñ. Ça va?"],
 )
 def test_ids_are_the_tokenizers(tokenizer, text):
-    assert np.frombuffer(tokenizer(text), "<u4").tolist() == tokenizer.tokenizer.encode(text, add_special_tokens=False).ids
+    plain = Tokenizer.from_file(vocabulary())
+    assert np.frombuffer(tokenizer(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
 def test_ids_of_whole_documents(tokenizer):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import re
 
@@ -31,7 +32,7 @@ def judged(spark):
     rows = page_rows()
     pages = spark.createDataFrame([(i, u, "<p>", 1, 2) for i, u in rows], PAGES)
     labels = spark.createDataFrame([(i, 1, label_of(i, u)) for i, u in rows if label_of(i, u) is not None], "doc_id long, quality int, toxic int")
-    mining = url_filter.Mining(support=0.02, confidence=0.8, pages=5)
+    mining = url_filter.Mining()
     return rows, url_filter.judge(pages, url_filter.page_labels(labels), mining=mining).collect(), mining
 
 
@@ -74,6 +75,39 @@ def tokens(url):
     return out
 
 
+def chance(n, k, base):
+    """Chernoff's bound on a binomial tail."""
+    q = k / n
+    if q <= base:
+        return 1.0
+    rest = (1 - q) * math.log((1 - q) / (1 - base)) if q < 1 else 0.0
+    return math.exp(-n * (q * math.log(q / base) + rest))
+
+
+def tail(n, k, base):
+    return sum(math.comb(n, i) * base**i * (1 - base) ** (n - i) for i in range(k, n + 1))
+
+
+def test_the_bound_holds():
+    for n in (1, 5, 20, 60):
+        for k in range(n + 1):
+            assert chance(n, k, 0.26) >= tail(n, k, 0.26) - 1e-12
+
+
+def test_labels_without_association_give_no_rule_and_rare_bad_hosts_do(spark):
+    """Production parameters: labels drawn at random, then with a host of twelve pages that are all blocked."""
+    rng = random.Random(31)
+    urls = [f"https://{rng.choice(['a', 'b', 'c', 'd'])}.site{rng.randrange(60)}.com/{rng.choice(['x', 'y', 'z'])}?k{rng.randrange(5)}=1" for _ in range(900)]
+    pages = [(i, u) for i, u in enumerate(urls)]
+    labels = [(i, 1, int(rng.random() < 0.26)) for i in range(900)]
+    for bad in (0, 12):
+        more = [(1000 + i, f"https://rare.bad-host.com/{i}") for i in range(bad)]
+        df = spark.createDataFrame([(i, u, "", 1, 2) for i, u in pages + more], PAGES)
+        known = spark.createDataFrame(labels + [(i, 1, 1) for i, _ in more], "doc_id long, quality int, toxic int")
+        got = url_filter.judge(df, url_filter.page_labels(known)).collect()
+        assert {r.page_id for r in got if r.verdict == "block"} == {i for i, _ in more}
+
+
 def test_mined_rules_equal_exhaustive_search(judged):
     rows, got, mining = judged
     truth = {}
@@ -82,7 +116,7 @@ def test_mined_rules_equal_exhaustive_search(judged):
             truth[i] = max(truth.get(i, 0), label_of(i, u))
     baskets = [(tokens(u), truth[i]) for i, u in rows if i in truth]
     least = max(mining.support, mining.pages / len(baskets)) * len(baskets)
-    counts = {}
+    base, counts = sum(b for _, b in baskets) / len(baskets), {}
     for have, bad in baskets:
         if len(have) > 50:
             continue
@@ -90,7 +124,12 @@ def test_mined_rules_equal_exhaustive_search(judged):
             for c in itertools.combinations(sorted(have), n):
                 a, b = counts.get(c, (0, 0))
                 counts[c] = (a + 1, b + bad)
-    rules = {c: b / a for c, (a, b) in counts.items() if b >= least and b / a >= mining.confidence}
+    tried = sum(a >= least for a, _ in counts.values())
+    rules = {
+        c: b / a
+        for c, (a, b) in counts.items()
+        if b >= least and b / a >= mining.confidence and chance(a, b, base) * tried <= mining.chance
+    }
     kept = {
         c: p
         for c, p in rules.items()
