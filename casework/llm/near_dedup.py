@@ -371,37 +371,36 @@ def prefix_sizes(n: Column, least: float) -> tuple[Column, Column]:
 
 
 def _numbers(kmers_of: DataFrame) -> DataFrame:
-    """The different k-mer numbers of each text, and how many they are."""
+    """The different k-mer numbers of each text, named by ``_id``, and how many they are."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                found = np.unique(np.frombuffer(raw.as_buffer(), dtype="<u4")).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key], pa.binary()), pa.array([found], pa.list_(pa.int64()))], names=["text_key", "numbers"]
-                )
+            found = [np.unique(np.frombuffer(raw.as_buffer(), dtype="<u4")).astype(np.int64) for raw in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["_id", "numbers"]
+            )
 
-    flat = kmers_of.select("text_key", "kmers").mapInArrow(number, "text_key binary, numbers array<long>")
-    return flat.select("text_key", F.size("numbers").alias("_different"), F.explode("numbers").alias("_value"))
+    flat = kmers_of.select("_id", "kmers").mapInArrow(number, "_id long, numbers array<long>")
+    return flat.select("_id", F.size("numbers").alias("_different"), F.explode("numbers").alias("_value"))
 
 
 def _prefixes(texts: DataFrame, kmers_of: DataFrame, plan: OrderMinHash) -> DataFrame:
     """Per text the k-mers of its prefix that other texts have too, rarest first, as ``prefix``.
 
-    ``texts`` has text_key, n and component. The first ``_short`` of them meet longer texts, all of them
+    ``texts`` has text_key, a shorter name ``_id``, n and component. The first ``_short`` of them meet longer texts, all of them
     shorter ones. K-mers of one text only stand first in the order and meet nobody, so they just count.
     """
-    each = stage(_numbers(kmers_of.join(texts.select("text_key"), "text_key", "left_semi")), "near_numbers")
+    each = stage(_numbers(kmers_of.join(texts.select("text_key", "_id"), "text_key")), "near_numbers")
     often = each.groupBy("_value").agg(F.count("*").alias("_df")).where("_df > 1")
     shared = (
         each.join(often, "_value")
-        .groupBy("text_key", "_different")
+        .groupBy("_id", "_different")
         .agg(F.sort_array(F.collect_list(F.struct("_df", "_value"))).alias("_order"))
     )
     alone = F.col("_different") - F.size("_order")
     short, long = (F.greatest(size - alone, F.lit(0)) for size in prefix_sizes(F.col("n"), plan.least))
     return (
-        texts.join(shared, "text_key")
+        texts.join(shared, "_id")
         .select(
             "text_key", "n", "component", alone.alias("_alone"), short.alias("_short"),
             F.slice("_order", F.lit(1), long)["_value"].alias("prefix"),
@@ -616,10 +615,11 @@ def _tile_links(tiles: DataFrame, plan: OrderMinHash) -> DataFrame:
 
 
 def _unjoined(members: DataFrame) -> DataFrame:
-    """Texts of the groups that are not one component: text_key, n, component."""
+    """Texts of the groups that are not one component: text_key, n, component, and a number as ``_id``."""
     ends = members.groupBy(*GROUP).agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
     mixed = ends.where("_low != _high").select(*GROUP)
-    return stage(members.join(mixed, GROUP).select("text_key", "n", "component").distinct(), "near_unjoined")
+    texts = members.join(mixed, GROUP).select("text_key", "n", "component").distinct()
+    return stage(texts.withColumn("_id", F.monotonically_increasing_id()), "near_unjoined")
 
 
 def text_links(docs: DataFrame, rows: DataFrame, plan: OrderMinHash) -> DataFrame:

@@ -198,9 +198,9 @@ def test_every_near_pair_is_paired_or_meets_in_a_tile(spark, monkeypatch, tile,
         for k in range(12):
             kept = [x for x in base if rng.random() > 0.08]
             texts[bytes([family, k])] = np.array(kept + rng.sample(range(10_000), rng.randint(0, 6)) or [1], dtype="<u4")
-    rows = [(k, len(v), bytes([i % 5]), v.tobytes()) for i, (k, v) in enumerate(texts.items())]
-    df = spark.createDataFrame(rows, "text_key binary, n long, component binary, kmers binary")
-    prefixes = near_dedup._prefixes(df.select("text_key", "n", "component"), df.select("text_key", "kmers"), plan)
+    rows = [(k, len(v), bytes([i % 5]), v.tobytes(), i) for i, (k, v) in enumerate(texts.items())]
+    df = spark.createDataFrame(rows, "text_key binary, n long, component binary, kmers binary, _id long")
+    prefixes = near_dedup._prefixes(df.select("text_key", "n", "component", "_id"), df.select("text_key", "kmers"), plan)
     lists = near_dedup._lists(prefixes, plan)
     sides = {}
     for r in near_dedup._tiles(lists, plan).collect():
@@ -216,17 +216,17 @@ def unlinked_group(spark, n):
     """``n`` texts that share two thirds of their k-mers and have the others alone."""
     common = list(range(100))
     rows = [
-        (i.to_bytes(4, "big"), 150, i.to_bytes(4, "big"), np.array(common + [1000 + 50 * i + j for j in range(50)], dtype="<u4").tobytes())
+        (i.to_bytes(4, "big"), 150, i.to_bytes(4, "big"), np.array(common + [1000 + 50 * i + j for j in range(50)], dtype="<u4").tobytes(), i)
         for i in range(n)
     ]
-    return spark.createDataFrame(rows, "text_key binary, n long, component binary, kmers binary")
+    return spark.createDataFrame(rows, "text_key binary, n long, component binary, kmers binary, _id long")
 
 
 def test_rows_grow_with_a_group_of_unlinked_texts(spark):
     plan, counts = near_dedup.OrderMinHash(), []
     for n in (512, 1024, 2048):
         df = unlinked_group(spark, n)
-        prefixes = near_dedup._prefixes(df.select("text_key", "n", "component"), df.select("text_key", "kmers"), plan)
+        prefixes = near_dedup._prefixes(df.select("text_key", "n", "component", "_id"), df.select("text_key", "kmers"), plan)
         lists = near_dedup._lists(prefixes, plan)
         counts.append(near_dedup._tiles(lists, plan).count() + near_dedup._few_pairs(lists, plan).count())
     assert counts[2] <= 2.2 * counts[1] + 100 and counts[1] <= 2.2 * counts[0] + 100
