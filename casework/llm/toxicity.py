@@ -1,18 +1,22 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Transducers mark the words of a clause: insult (a learned stem with a weight),
-threat, target, negation and reported speech. Composed, they turn a clause into
-one of a few patterns: insult asserted, aimed at a target, negated, reported, or
-a threat at a target. A text's pattern totals feed a logistic score, so a word
-counts by the clause it stands in.
+Five transducers read the words of a clause. Insult and threat are one automaton
+over characters: at the beginning of a word it writes a learned stem's label and
+weight, or that of a threat. Negation, reported speech and target read these
+labels and the clause's cue words: negation rewrites finds in the three words
+after it, reported speech those after its verb, and target decides at the clause's
+end whether what is left was aimed at someone. Composed, they are one machine
+(``GRAMMAR``) that reads each word of a clause once and gives the weights of the
+clause's patterns: insult asserted, aimed, negated or reported, and threat at a
+target. A text's score is logistic in its clauses' patterns, so a word counts by
+the clause it stands in, whatever the clause's length.
 
 The insult stems are word beginnings learned from a bounded sample of labelled
 rows (``sample`` of them, by the order of a hash): a stem is kept if its share of
 toxic texts cannot be chance among all stems tried. Of nested stems the longest
 one decides. The score's weights come from a third of the sample that the stems
 were not learned on. Rows whose checksum of the id is divisible by ``folds`` are
-never learned from. Stems are found by an Aho-Corasick automaton; only clauses
-with a find are looked at closely.
+never learned from. Only clauses with a find are read word by word.
 
 Defined results: null and empty texts have no pattern and get the base score;
 repeated rows get one score each; a row with several labels is toxic if one says
@@ -25,7 +29,8 @@ from __future__ import annotations
 import functools
 import math
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Hashable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -50,11 +55,10 @@ THREATS = (
     "kill hurt destroy beat stab shoot töten umbringen verletzen vernichten tuer frapper détruire matar golpear destruir"
 ).split()
 
-_CLAUSE_HEAD = re.compile(r"[^.!?;\n]*\Z")
-_CLAUSE_TAIL = re.compile(r"[^.!?;\n]*")
-_WORD = re.compile(r"\w+")
-#: Characters looked at on either side of a find; clauses beyond it count up to there.
-REACH = 400
+_CLAUSE_END = re.compile(r"[.!?;\n]")
+_WORD = re.compile(r"[^\W_]+")
+#: Words after a negation that it reaches.
+SCOPE = 3
 STEM_LENGTHS = range(3, 9)
 #: Stems that a task counts before it passes their sums on.
 HELD_STEMS = 100_000
@@ -65,7 +69,6 @@ PATTERNS = ("asserted", "aimed", "negated", "reported", "threat", "strongest", "
 class Learning:
     sample: int = 20_000
     folds: int = 5
-    stems: int = 5_000
     margin: float = 3.0
     ridge: float = 0.1
 
@@ -83,51 +86,136 @@ def held_out(doc_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+# Labels that the words of a clause carry, and those that finds are rewritten to.
+OTHER, NEGATION, REPORT, TARGET, INSULT, THREAT = "other", "negation", "report", "target", "insult", "threat"
+NEGATED, REPORTED, AIMED, ASSERTED, IDLE = "negated", "reported", "aimed", "asserted", "idle"
+READ = (OTHER, NEGATION, REPORT, TARGET, INSULT, THREAT)
+CUES = {
+    **dict.fromkeys(TARGETS, TARGET),
+    **dict.fromkeys(REPORTS, REPORT),
+    **dict.fromkeys(NEGATIONS, NEGATION),
+}
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A start state, arcs (state, label) -> (state, label written), and what the last state makes of the written labels.
+
+    A label without an arc is written as it is read, and the state stays.
+    """
+
+    start: Hashable
+    arcs: dict[tuple[Hashable, str], tuple[Hashable, str]]
+    ends: dict[Hashable, dict[str, str]]
+
+    def step(self, state: Hashable, label: str) -> tuple[Hashable, str]:
+        return self.arcs.get((state, label), (state, label))
+
+    def end(self, state: Hashable, label: str) -> str:
+        return self.ends.get(state, {}).get(label, label)
+
+
+def negation() -> Transducer:
+    """The state counts the words that the last negation still reaches; finds in reach are denied."""
+    arcs: dict[tuple[Hashable, str], tuple[Hashable, str]] = {}
+    for left in range(SCOPE + 1):
+        arcs[left, NEGATION] = (SCOPE, NEGATION)
+        if left:
+            arcs.update({(left, word): (left - 1, word) for word in (OTHER, REPORT, TARGET)})
+            arcs.update({(left, INSULT): (left, NEGATED), (left, THREAT): (left, IDLE)})
+    return Transducer(0, arcs, {})
+
+
+def reported_speech() -> Transducer:
+    """After a verb of speech the finds of the clause are someone's words."""
+    return Transducer(
+        False,
+        {(False, REPORT): (True, REPORT), (True, INSULT): (True, REPORTED), (True, THREAT): (True, IDLE)},
+        {},
+    )
+
+
+def target() -> Transducer:
+    """Whether the clause names a target anywhere decides at its end what its finds are."""
+    return Transducer(
+        False, {(False, TARGET): (True, TARGET)}, {False: {INSULT: ASSERTED, THREAT: IDLE}, True: {INSULT: AIMED}}
+    )
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The second reads what the first writes: one machine over the pairs of states that can be reached."""
+    start = (first.start, second.start)
+    arcs, ends, open_states = {}, {}, [start]
+    while open_states:
+        state = open_states.pop()
+        # Labels that only the first one writes are carried through to the end.
+        ends[state] = {x: second.end(state[1], first.end(state[0], x)) for x in (*READ, NEGATED, REPORTED, IDLE)}
+        for label in READ:
+            one, written = first.step(state[0], label)
+            two, written = second.step(state[1], written)
+            arcs[state, label] = ((one, two), written)
+            if (one, two) not in ends and (one, two) not in open_states:
+                open_states.append((one, two))
+    return Transducer(start, arcs, ends)
+
+
+GRAMMAR = compose(compose(negation(), reported_speech()), target())
+
+
 @functools.lru_cache(maxsize=4)
 def _automaton(stems: tuple[tuple[str, float], ...]):
+    """Insult and threat: word beginnings with their length, label and weight."""
     import ahocorasick
 
     found = ahocorasick.Automaton()
     for stem, weight in stems:
-        found.add_word(stem, (len(stem), weight, False))
+        found.add_word(stem, (len(stem), INSULT, weight))
     for stem in THREATS:
         if stem not in found:
-            found.add_word(stem, (len(stem), 0.0, True))
+            found.add_word(stem, (len(stem), THREAT, 1.0))
     found.make_automaton()
     return found
 
 
+def clause_pattern(clause: str, finds: dict[int, tuple[int, str, float]], at: int = 0) -> list[tuple[str, float]]:
+    """What the grammar makes of a clause's finds, given by their place in the text; the clause begins at ``at``."""
+    state, written = GRAMMAR.start, []
+    for word in _WORD.finditer(clause):
+        find = finds.get(at + word.start())
+        if find:
+            state, label = GRAMMAR.step(state, find[1])
+            written.append((label, find[2]))
+        state, _ = GRAMMAR.step(state, CUES.get(word.group(), OTHER))
+    return [(GRAMMAR.end(state, label), weight) for label, weight in written]
+
+
 def patterns(text: str, automaton) -> list[float]:
     """Totals of the clause patterns of a text, on a log scale."""
     text = text.lower()
-    starts: dict[int, tuple[int, float, bool]] = {}
-    for end, (length, weight, threat) in automaton.iter(text):
-        start = end - length + 1
+    finds: dict[int, tuple[int, str, float]] = {}
+    for end, find in automaton.iter(text):
+        start = end - find[0] + 1
         if start and text[start - 1].isalnum():
             continue
-        if start not in starts or length > starts[start][0]:
-            starts[start] = (length, weight, threat)
-    asserted = aimed = negated = reported = threats = strongest = 0.0
-    for start, (_, weight, threat) in starts.items():
-        head = _CLAUSE_HEAD.search(text[max(0, start - REACH) : start]).group()
-        tail = _CLAUSE_TAIL.match(text[start : start + REACH]).group()
-        before, after = _WORD.findall(head), _WORD.findall(tail)
-        target = not TARGETS.isdisjoint(before) or not TARGETS.isdisjoint(after)
-        if threat:
-            threats += target
+        if start not in finds or find[0] > finds[start][0]:
+            finds[start] = find
+    totals = dict.fromkeys((ASSERTED, AIMED, NEGATED, REPORTED, THREAT, IDLE), 0.0)
+    strongest = 0.0
+    cuts = [m.start() for m in _CLAUSE_END.finditer(text)] if finds else []
+    read_to = -1
+    for start in sorted(finds):
+        if start < read_to:
             continue
-        strongest = max(strongest, weight)
-        if not NEGATIONS.isdisjoint(before[-3:]):
-            negated += weight
-        elif not REPORTS.isdisjoint(before):
-            reported += weight
-        elif target:
-            aimed += weight
-        else:
-            asserted += weight
-    total = asserted + aimed + negated + reported
-    density = 1000.0 * total / (len(text) + 200)
-    return [*(math.log1p(x) for x in (asserted, aimed, negated, reported, threats)), strongest, math.log1p(density)]
+        k = bisect_left(cuts, start)
+        head = cuts[k - 1] + 1 if k else 0
+        read_to = cuts[k] if k < len(cuts) else len(text)
+        for label, weight in clause_pattern(text[head:read_to], finds, head):
+            totals[label] += weight
+            if label in (ASSERTED, AIMED):
+                strongest = max(strongest, weight)
+    density = 1000.0 * (totals[ASSERTED] + totals[AIMED]) / (len(text) + 200)
+    logs = [math.log1p(totals[x]) for x in (ASSERTED, AIMED, NEGATED, REPORTED, THREAT)]
+    return [*logs, strongest, math.log1p(density)]
 
 
 def _stem_set(text: str) -> set[str]:
@@ -179,8 +267,7 @@ def _learn_stems(sample: DataFrame, learning: Learning) -> tuple[tuple[str, floa
         counts.where((F.col("toxic") > 0) & (share > rate))
         .withColumn("gain", gain)
         .where(F.col("gain") > math.log(max(tried, 1)) + learning.margin)
-        .orderBy(F.desc("gain"), "stem")
-        .limit(learning.stems)
+        .select("stem", "toxic", "clean")
         .collect()
     )
     weight = {
