@@ -190,32 +190,48 @@ def _quoted(value: str) -> str:
 
 
 def licences_sql() -> str:
-    """The same in DuckDB SQL where no sentence is wrapped: a chain of replacements instead of a fold."""
+    """The same in DuckDB SQL, whose patterns look neither back nor ahead.
+
+    Blank lines are told line by line, and cuts are doubled before sentences are looked
+    for, so that one sentence's end and the next one's beginning each have a cut.
+    """
     sentences = ", ".join(f"({_quoted(s)}, {_quoted(i)})" for s, i in SENTENCES.items())
-    rest, found = "sequence", []
-    for name, kind, ids in RULES:
-        text = _quoted(_rule_text(ids))
-        found.append((f"contains({rest}, {text})", name, kind))
-        rest = f"replace({rest}, {text}, '|')"
-    steps, last = [], "sequence"
-    for k, (name, kind, ids) in enumerate(RULES):
-        text = _quoted(_rule_text(ids))
+    wrapped = "|".join(s.replace(" ", r"(?: |\n\n)") for s in sorted(SENTENCES, key=lambda s: (-len(s), s)))
+    text = "plain"
+    for pattern, mark in (
+        (r"[;:][ \t]+", "chr(10)"),
+        (r"\.[ \t]+([0-9])", r"chr(10) || '\1'"),
+        (r"[.!?][ \t]+", "'|'"),
+        (r"[.!?]\n", "'|' || chr(10)"),
+        (r"[^a-z0-9|\n]+", "' '"),
+        (r" ?[|\n][ |\n]*\|[ |\n]*| ?\|[ |\n]*", "'|'"),
+        (r" ?\n[ \n]*", "chr(10)"),
+    ):
+        text = f"regexp_replace({text}, '{pattern}', {mark}, 'g')"
+    steps = []
+    for k, (_, _, ids) in enumerate(HEADED + RULES):
+        rule = _quoted(_rule_text(ids))
         steps.append(
-            f"s{k} as (select *, contains(r{k}, {text}) h{k}, replace(r{k}, {text}, '|') r{k + 1} from "
-            + (f"s{k - 1})" if k else f"(select *, {last} r0 from sequences))")
+            f"s{k} as (select *, contains(r{k}, {rule}) h{k}, replace(r{k}, {rule}, '|') r{k + 1} from "
+            + (f"s{k - 1})" if k else "(select *, sequence r0 from sequences))")
         )
-    names = ", ".join(f"case when h{k} then {_quoted(n)} end" for k, (n, _, _) in enumerate(RULES))
+    names = ", ".join(f"case when h{k} then {_quoted(n)} end" for k, (n, _, _) in enumerate(HEADED + RULES))
     kinds = " ".join(
-        "when " + " or ".join(f"h{k}" for k, (_, c, _) in enumerate(RULES) if c == kind) + f" then '{kind}'"
+        "when " + " or ".join(f"h{k}" for k, (_, c, _) in enumerate(HEADED + RULES) if c == kind) + f" then '{kind}'"
         for kind in CLASSES
     )
     return f"""with known(sentence, id) as (values {sentences}),
-rows as (select row_number() over () n, doc_id, text from documents),
-cut as (select n, unnest(string_split_regex(coalesce(
-    regexp_replace(lower(text), '([.!?;:])[ \\t]+', '\\1' || chr(10), 'g'), ''), '[\\n\\r]+')) s from rows),
-numbered as (select n, row_number() over (partition by n) k, trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) s from
-    (select n, s from cut)),
-ids as (select n, list(id order by k) ids from numbered join known on s = sentence group by n),
+rows as (select row_number() over () n, doc_id, string_split(regexp_replace(replace(coalesce(lower(text), ''), '|', ' '),
+    '\\r\\n?', chr(10), 'g'), chr(10)) lines from documents),
+joined as (select n, lines[1] || array_to_string(list_transform(range(2, len(lines) + 1), lambda i:
+    case when i < len(lines) and not regexp_matches(lines[i], '[a-z0-9]') then '|' else chr(10) || lines[i] end), '') plain
+    from rows),
+normal as (select n, '|' || replace(replace(trim({text}, ' '), '|', '||'), chr(10), chr(10) || chr(10)) || '|' as cuts
+    from joined),
+found as (select n, regexp_extract_all(cuts, '[|\\n]({wrapped})[|\\n]', 1) found from normal),
+numbered as (select n, unnest(range(len(found))) k, unnest(found) s from found),
+ids as (select n, list(id order by k) ids
+    from numbered join known on replace(s, chr(10) || chr(10), ' ') = sentence group by n),
 sequences as (select doc_id, coalesce(ids, []) ids,
     '|' || array_to_string(list_transform(coalesce(ids, []), lambda i: '|' || i || '|'), '') || '|' as sequence
     from rows left join ids using (n)),
@@ -223,4 +239,4 @@ sequences as (select doc_id, coalesce(ids, []) ids,
 select doc_id, array_to_string(ids, ' ') sentence_ids,
     array_to_string(list_sort(list_distinct(list_filter([{names}], lambda x: x is not null))), ' ') licences,
     case {kinds} else 'none' end licence_class
-from s{len(RULES) - 1}"""
+from s{len(HEADED + RULES) - 1}"""

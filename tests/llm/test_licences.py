@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import duckdb
 from casework.llm import licences
 
@@ -114,3 +116,24 @@ def test_blank_lines_and_stops_cut(some_docs):
     rows = [(0, "Licensed under the\n\nMIT License."), (1, "Licensed under. The ISC license"), (2, "All rights reserved.\nSome prose.")]
     got = {r.doc_id: r.licences for r in licences.licences(some_docs(rows)).collect()}
     assert got == {0: "MIT", 1: "", 2: "All-rights-reserved"}
+
+
+def test_sql_equals_on_wrapped_texts(some_docs):
+    """Sentences wrapped anywhere, with marks, blank lines, headed grants and stray cuts between them."""
+    rng = random.Random(21)
+    sentences = list(licences.SENTENCES)
+    texts = ["# " + h.replace("\n", "\n# ") for h in HEADERS.values()] + list(HEADERS.values())
+    texts += ["All rights reserved.\n" + h for h in HEADERS.values()] + ["", None, "|", "\n\n", ".", "\r\n \r\n"]
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            words = rng.choice(sentences).split() if rng.random() < 0.8 else ["some", "prose"]
+            parts += [w + rng.choice([" "] * 12 + ["\n", "\n * ", "\r\n", "\n\n", " | ", "-", ";"]) for w in words[:-1]]
+            parts += [words[-1], rng.choice([". ", ".\n", "\n", "\n\n", "\n # \n", "; ", ": 2. ", "! ", ".! ", " . 1", "|", " "])]
+        texts.append("".join(parts))
+    frame = some_docs(list(enumerate(texts)))
+    got = {r.doc_id: (r.sentence_ids, r.licences, r.licence_class) for r in licences.licences(frame).collect()}
+    documents = frame.toPandas()  # noqa: F841
+    same = {r[0]: r[1:] for r in duckdb.connect().sql(licences.licences_sql()).fetchall()}
+    assert {d: (texts[d], got[d], same[d]) for d in got if got[d] != same[d]} == {}
+    assert len({v[1] for v in got.values()}) > 10
