@@ -1,13 +1,16 @@
 """Document fingerprints: a Merkle tree over clauses, paragraphs and sections.
 
-A paragraph is a line, its leaves are clauses (up to punctuation, at most
-``CLAUSE`` characters), and a section ends after a paragraph whose digest is
-divisible by ``SECTION``, so cuts depend on nearby text only and an edit changes
-few branches. A node's digest is the hash of its children's; the root tests
-equality. The fingerprint is the root and the tree's leaf digests, shortened,
-with section and paragraph marks: comparing two of them walks both trees from
-the root and counts the leaves in equal branches, or names the paragraphs that
-differ.
+A paragraph is a line, its leaves are clauses (up to punctuation; a clause of more
+than ``CLAUSE`` characters is cut by its content), and a section ends after a
+paragraph whose digest is divisible by ``SECTION``, so cuts depend on nearby text
+only and an edit changes few branches. A node's digest is the hash of its
+children's; the root tests equality. The fingerprint is the tree itself: the root,
+then every section, paragraph and leaf with its digest, shortened.
+
+Two trees are compared from the root down. Equal roots end it. Of differing ones
+the children are matched by digest, equal branches count whole and are not looked
+into, and only the rest is opened: sections, then paragraphs, then leaves. The
+paragraphs opened are where the texts differ.
 
 Defined results: null is the empty text; two empty texts have likeness 1; a
 document is followed by the one with the next lower id, the last by the first;
@@ -22,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -29,63 +33,127 @@ from pyspark.sql import functions as F
 
 from casework.llm.common import ship
 
-CLAUSE, SECTION = 96, 4
-_CLAUSES = re.compile(rf"[^.,;:!?]{{1,{CLAUSE}}}[.,;:!?]*|[.,;:!?]+")
-LEAF = 8
+#: Characters from which a clause is cut, least characters of a piece, and one of how many places is a cut.
+CLAUSE, PIECE, PLACES = 96, 16, 48
+SECTION = 4
+_CLAUSES = re.compile(r"[^.,;:!?]+[.,;:!?]*|[.,;:!?]+")
+#: Hex digits of a leaf's, a paragraph's and a section's digest.
+LEAF, NODE, BRANCH = 8, 16, 16
+#: Odd multipliers of the four characters before a cut.
+_MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], dtype=np.uint32)
+
+
+def pieces(clause: str) -> list[str]:
+    """A long clause cut where the four characters before say so, whatever stands further off."""
+    if len(clause) <= CLAUSE:
+        return [clause]
+    codes = np.frombuffer(clause.encode("utf-32-le"), dtype=np.uint32)
+    mixed = sum(codes[k : len(codes) - 3 + k] * _MIX[k] for k in range(4))
+    out, start = [], 0
+    for cut in (np.flatnonzero((mixed >> 15) % PLACES == 0) + 4).tolist():
+        if cut - start >= PIECE and len(clause) - cut >= PIECE:
+            out.append(clause[start:cut])
+            start = cut
+    return [*out, clause[start:]]
+
+
+def leaves_of(line: str) -> list[str]:
+    return [piece for clause in _CLAUSES.findall(line) for piece in pieces(clause)]
 
 
 def fingerprint(text: str) -> str:
-    """Root digest, then sections joined by ``/``, paragraphs by ``.`` and leaves of 8 hex digits."""
+    """Root, ``:``, sections joined by ``/``. A section is its digest and paragraphs, each after a ``.``;
+    a paragraph is its digest and its leaves' digests, of fixed widths."""
     digest = xxhash.xxh3_128_digest
     sections, paragraphs, members, marks = [], [], [], []
+
+    def close() -> None:
+        mark = digest(b"".join(members))
+        sections.append(".".join([mark.hex()[:BRANCH], *paragraphs]))
+        marks.append(mark)
+        paragraphs.clear()
+        members.clear()
+
     for line in text.split("\n"):
-        leaves = [digest(c) for c in _CLAUSES.findall(line)]
+        leaves = [digest(piece) for piece in leaves_of(line)]
         node = digest(b"".join(leaves))
-        paragraphs.append("".join([leaf[:4].hex() for leaf in leaves]))
+        paragraphs.append(node.hex()[:NODE] + "".join([leaf[: LEAF // 2].hex() for leaf in leaves]))
         members.append(node)
         if node[-1] % SECTION == 0:
-            sections.append(".".join(paragraphs))
-            marks.append(digest(b"".join(members)))
-            paragraphs, members = [], []
+            close()
     if members:
-        sections.append(".".join(paragraphs))
-        marks.append(digest(b"".join(members)))
+        close()
     return digest(b"".join(marks)).hex() + ":" + "/".join(sections)
 
 
-def _leaves(branch: str) -> list[str]:
-    flat = branch.replace(".", "").replace("/", "")
-    return [flat[i : i + LEAF] for i in range(0, len(flat), LEAF)]
+def _leaf_count(paragraphs: list[str]) -> int:
+    return sum(len(p) - NODE for p in paragraphs) // LEAF
+
+
+def _unmatched(one: list, other: list, key: Callable) -> tuple[list, list]:
+    """What is left of both sides once children of equal digest are taken in pairs, first ones first."""
+    have, there = Counter(map(key, one)), Counter(map(key, other))
+
+    def rest(side: list) -> list:
+        both, out = have & there, []
+        for child in side:
+            if both[key(child)]:
+                both[key(child)] -= 1
+            else:
+                out.append(child)
+        return out
+
+    return rest(one), rest(other)
+
+
+def _opened(one: str, other: str) -> tuple[list, list]:
+    """The paragraphs of differing branches on either side: numbers in their text and nodes."""
+    sides = []
+    for tree in (one, other):
+        sections, first = [], 0
+        for section in tree.split(":", 1)[1].split("/"):
+            mark, *paragraphs = section.split(".")
+            sections.append((mark, first, paragraphs))
+            first += len(paragraphs)
+        sides.append(sections)
+    sections = _unmatched(*sides, key=lambda s: s[0])
+    numbered = [[(n, p) for _, first, ps in side for n, p in enumerate(ps, first)] for side in sections]
+    return _unmatched(*numbered, key=lambda p: p[1][:NODE])
+
+
+def compare(one: str, other: str) -> tuple[float, list[int]]:
+    """Likeness, 0 to 1 (twice the leaves in common branches by those of both), and the numbers
+    of the first text's paragraphs that differ."""
+    if one[:32] == other[:32]:
+        return 1.0, []
+    totals = [
+        _leaf_count([p for s in tree.split(":", 1)[1].split("/") for p in s.split(".")[1:]]) for tree in (one, other)
+    ]
+    mine, theirs = _opened(one, other)
+    changed = [n for n, _ in mine]
+    if not sum(totals):
+        return 1.0, changed
+    cut = lambda side: Counter(p[i : i + LEAF] for _, p in side for i in range(NODE, len(p), LEAF))
+    closed = totals[0] - _leaf_count([p for _, p in mine])
+    return 2.0 * (closed + sum((cut(mine) & cut(theirs)).values())) / sum(totals), changed
 
 
 def likeness(one: str, other: str) -> float:
-    """Share of leaves in common branches, 0 to 1 (twice the common ones by the sum of both)."""
-    root, body = one.split(":", 1)
-    other_root, other_body = other.split(":", 1)
-    if root == other_root:
-        return 1.0
-    size = len(_leaves(body)) + len(_leaves(other_body))
-    if not size:
-        return 1.0
-    # Equal sections need no look inside; the rest is compared leaf by leaf.
-    mine, theirs = Counter(body.split("/")), Counter(other_body.split("/"))
-    shared = mine & theirs
-    common = sum(len(_leaves(s)) * n for s, n in shared.items())
-    rest = Counter(x for s, n in (mine - shared).items() for x in _leaves(s) * n)
-    other_rest = Counter(x for s, n in (theirs - shared).items() for x in _leaves(s) * n)
-    common += sum((rest & other_rest).values())
-    return 2.0 * common / size
+    return compare(one, other)[0]
 
 
 def differing_paragraphs(one: str, other: str) -> list[int]:
-    """Numbers of the first text's paragraphs whose branch the second has nowhere."""
-    there = Counter(p for s in other.split(":", 1)[1].split("/") for p in s.split("."))
-    out = []
-    for k, p in enumerate(p for s in one.split(":", 1)[1].split("/") for p in s.split(".")):
-        if there[p]:
-            there[p] -= 1
+    return compare(one, other)[1]
+
+
+def spans(numbers: list[int]) -> list[tuple[int, int]]:
+    """First and last of each unbroken stretch of ascending numbers."""
+    out: list[tuple[int, int]] = []
+    for n in numbers:
+        if out and n == out[-1][1] + 1:
+            out[-1] = (out[-1][0], n)
         else:
-            out.append(k)
+            out.append((n, n))
     return out
 
 
@@ -161,14 +229,18 @@ def _followed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+    "near_edited double, near_next double, edited_lines string"
 )
 
 
 def fingerprints(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
-    """Every document's fingerprint, that of its edited text, and both likenesses."""
+    """Every document's fingerprint, that of its edited text, and both likenesses.
+
+    ``edited_lines`` are the places the comparison found in the edited text: line numbers
+    from 0, as ``first-last`` of each stretch.
+    """
     names = [f.split()[0] for f in SCHEMA.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.string()]
     ship(docs.sparkSession)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,12 +268,14 @@ def _row(held: tuple, following: str, following_print: str) -> tuple:
     half = len(content) // 2
     edited = content[: len(content) - half] + following[:half]
     edited_print = fingerprint(edited)
+    near, changed = compare(edited_print, own)
     return (
         doc,
         len(content),
         hashlib.sha256(edited.encode()).hexdigest(),
         own,
         edited_print,
-        likeness(own, edited_print),
+        near,
         likeness(own, following_print),
+        " ".join(f"{a}-{b}" for a, b in spans(changed)),
     )
