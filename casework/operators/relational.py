@@ -45,6 +45,85 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, ignore_null_keys: bool
     )
 
 
+#: Bits of one block of a key filter: what ``bitmap_construct_agg`` gathers into one binary of 4 KB.
+BLOCK_BITS = 32_768
+#: Bits a key sets within its block.
+KEY_BITS = 4
+
+
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks))
+
+
+def _places(key: Column) -> list[Column]:
+    mixed = F.xxhash64(F.lit("bits"), key)
+    return [F.shiftrightunsigned(mixed, 16 * k).bitwiseAND(F.lit(BLOCK_BITS - 1)) for k in range(KEY_BITS)]
+
+
+def key_filter(values: DataFrame, key: str, blocks: int = 2048) -> DataFrame:
+    """A Bloom filter of a column as a frame of ``blocks`` rows at most: block number and 4 KB of bits.
+
+    Each key sets its bits in one block. The bits are combined before the shuffle. Nulls are left out.
+    """
+    bits = values.filter(F.col(key).isNotNull()).select(
+        _block(F.col(key), blocks).alias("__block"), F.explode(F.array(*_places(F.col(key)))).alias("__place")
+    )
+    return bits.groupBy("__block").agg(F.bitmap_construct_agg("__place").alias("__bits"))
+
+
+def with_filter_hit(df: DataFrame, key: str, bits: DataFrame, blocks: int = 2048, hit: str = "__hit") -> DataFrame:
+    """Adds whether a key may be among those of ``bits``; false is certain, and so is a null key's false.
+
+    ``bits`` has 4 KB a block whatever the number of keys, so its broadcast has that bound.
+    """
+    joined = df.withColumn("__line_block", _block(F.col(key), blocks)).join(
+        F.broadcast(bits), F.col("__line_block") == F.col("__block"), "left"
+    )
+
+    def is_set(place: Column) -> Column:
+        byte = F.substr(F.col("__bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+        value = F.conv(F.hex(byte), 16, 10).cast("int")
+        return F.pmod(F.floor(value / F.pow(F.lit(2), place.bitwiseAND(F.lit(7)))), F.lit(2)) == 1
+
+    may = F.col(key).isNotNull() & F.col("__bits").isNotNull()
+    for place in _places(F.col(key)):
+        may = may & is_set(place)
+    return joined.withColumn(hit, F.coalesce(may, F.lit(False))).drop("__line_block", "__block", "__bits")
+
+
+def not_in_filtered(
+    df: DataFrame, key: str, excluded: DataFrame, ignore_null_keys: bool = False, blocks: int = 2048
+) -> DataFrame:
+    """``not_in`` for few excluded rows among many: only rows that a Bloom filter cannot rule out are shuffled.
+
+    Same rows and null rules. It reads ``df`` twice, once for either part, so it pays where
+    ``df`` is a scan and its rows are wide; ``blocks`` of 4 KB hold about 3,000 keys each at one
+    wrong hit in a hundred. More keys give more wrong hits, which the anti join sorts out.
+    Both key columns must be of one type, which may not be a floating one: hashes tell -0.0 and 0.0 apart.
+    """
+    name = excluded.columns[0]
+    kinds = {df.schema[key].dataType.simpleString(), excluded.schema[name].dataType.simpleString()}
+    if len(kinds) > 1 or kinds & {"float", "double"}:
+        raise TypeError(f"keys of {key} and {name} cannot be hashed alike: {sorted(kinds)}")
+    values = excluded.select(F.col(name).alias("__excluded"))
+    if ignore_null_keys:
+        values = values.filter(F.col("__excluded").isNotNull())
+    values = values.distinct()
+    probed = with_filter_hit(df, key, key_filter(values, "__excluded", blocks), blocks)
+    open_rows = probed.filter("__hit").drop("__hit")
+    ruled_out = probed.filter("not __hit").drop("__hit")
+    facts = values.agg(
+        F.struct(
+            (F.count(F.lit(1)) == 0).alias("is_empty"),
+            F.coalesce(F.bool_or(F.col("__excluded").isNull()), F.lit(False)).alias("has_null"),
+        ).alias("facts")
+    ).scalar()
+    kept = open_rows.join(values, F.col(key).eqNullSafe(F.col("__excluded")), "left_anti").unionByName(ruled_out)
+    return kept.filter(
+        facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))
+    )
+
+
 def without_keys(df: DataFrame, key: str, taken: DataFrame) -> DataFrame:
     """Rows whose key is not among ``taken``; rows with a null key are dropped.
 

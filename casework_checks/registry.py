@@ -43,7 +43,7 @@ from casework.operators.enrich import (
     resolve_address,
 )
 from casework.operators.pools import latest_pool, with_pool
-from casework.operators.relational import not_in
+from casework.operators.relational import not_in, not_in_filtered
 from casework.operators.status import (
     CURRENT_PAIRS,
     MARGIN_PAIRS,
@@ -538,6 +538,10 @@ ENTRIES: dict[str, Entry] = {
         lambda t: not_in(t.narrow("status", "acct_item_key"), "acct_item_key", _maybe_taken(t), True),
         _fragment("not_in_ignoring_nulls", "acct_item_key"),
     ),
+    "not_in_filtered": Entry(
+        lambda t: not_in_filtered(t.narrow("status", "acct_item_key"), "acct_item_key", _maybe_taken(t), True),
+        _fragment("not_in_ignoring_nulls", "acct_item_key"),
+    ),
     # pools and cases
     "latest_pool": Entry(_pools, _fragment("pools", "acct_or_bill_to sys_pltfrm pool_num pool_name")),
     "with_pool": Entry(lambda t: with_pool(_candidates(t), _pools(t)), _fragment("pooled", POOLED)),

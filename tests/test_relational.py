@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from casework.operators.relational import (
     first_per_group,
     first_rows,
+    key_filter,
     latest_rows,
     not_in,
+    not_in_filtered,
     null_safe_join,
     numbered_top,
+    with_filter_hit,
     without_keys,
 )
 
@@ -31,6 +34,63 @@ def test_not_in_equals_sql_not_in(spark, excluded):
     assert rows(not_in(df, "k", sub)) == rows(expected)
     ignoring = spark.sql("select * from t_keys where k not in (select x from t_excluded where x is not null)")
     assert rows(not_in(df, "k", sub, ignore_null_keys=True)) == rows(ignoring)
+    assert rows(not_in_filtered(df, "k", sub, blocks=2)) == rows(expected)
+    assert rows(not_in_filtered(df, "k", sub, ignore_null_keys=True)) == rows(ignoring)
+
+
+def test_filter_has_no_wrong_misses_and_few_wrong_hits(spark):
+    lines = spark.range(40_000).select(F.when(F.col("id") % 50 > 0, F.concat(F.lit("k"), "id")).alias("k"), "id")
+    keys = spark.range(0, 60_000, 8).select(F.concat(F.lit("k"), "id").alias("x"))
+    bits = key_filter(keys, "x", 8)
+    assert bits.count() <= 8
+    probed = with_filter_hit(lines, "k", bits, 8)
+    assert probed.columns == ["k", "id", "__hit"] and probed.count() == 40_000
+    there = (F.col("id") % 8 == 0) & F.col("k").isNotNull()
+    assert probed.filter(there & ~F.col("__hit")).count() == 0
+    assert probed.filter(F.col("k").isNull() & F.col("__hit")).count() == 0
+    assert probed.filter(~there & F.col("__hit")).count() < 0.02 * 40_000
+    # A filter that is far too small lets more rows through to the anti join; the rows stay right.
+    assert rows(not_in_filtered(lines, "k", keys, blocks=1)) == rows(not_in(lines, "k", keys))
+
+
+def test_only_rows_the_filter_lets_through_are_shuffled(spark, tmp_path):
+    spark.range(40_000).select("id").write.parquet(str(tmp_path / "lines"))
+    spark.range(0, 40_000, 100).select(F.col("id").alias("x")).write.parquet(str(tmp_path / "taken"))
+    lines, taken = spark.read.parquet(str(tmp_path / "lines")), spark.read.parquet(str(tmp_path / "taken"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = {}
+        for f in (not_in, not_in_filtered):
+            df = f(lines, "id", taken)
+            assert df.count() == 39_600
+            plan = df._jdf.queryExecution().executedPlan()
+            df.collect()
+            shuffled[f.__name__] = _shuffled_rows(plan)
+        assert shuffled["not_in"] > 40_000 > 4_000 > shuffled["not_in_filtered"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _shuffled_rows(plan) -> int:
+    """Rows written by all exchanges of a plan that has run."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        return _shuffled_rows(plan.executedPlan())
+    total = 0
+    while plan.getClass().getSimpleName().endswith("QueryStageExec"):
+        plan = plan.plan()
+    written = plan.metrics().get("shuffleRecordsWritten")
+    if written.isDefined():
+        total += written.get().value()
+    children = plan.children()
+    return total + sum(_shuffled_rows(children.apply(i)) for i in range(children.length()))
+
+
+def test_filtered_keys_of_other_types_are_refused(spark):
+    lines = spark.range(3)
+    with pytest.raises(TypeError):
+        not_in_filtered(lines, "id", spark.createDataFrame([("1",)], "x string"))
+    with pytest.raises(TypeError):
+        not_in_filtered(lines.select(F.col("id").cast("double").alias("d")), "d", spark.createDataFrame([(1.0,)], "x double"))
 
 
 def test_not_in_has_no_cross_join_and_no_forced_broadcast(spark):
