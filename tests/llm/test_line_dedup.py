@@ -81,9 +81,60 @@ def test_edge_rows(docs, no_docs):
     assert line_dedup.line_report(no_docs).count() == 0
 
 
-def test_shortest_runs():
-    assert line_dedup.shortest_runs([0, 1, 2, 5], [3, 5, 9, 2], 8) == [(0, 2), (1, 2), (2, 1)]
-    assert line_dedup.shortest_runs([], [], 8) == []
+def test_array_equals_brute_force(some_docs):
+    """Order, shared lines and longest earlier runs against sorted slices, with blocks of three suffixes."""
+    rows = repeated_rows()
+    lines = line_dedup._repeated_lines(some_docs(rows))
+    table = sorted(lines.collect(), key=lambda r: r._place)
+    assert [r._place for r in table] == list(range(len(table)))
+    slices = [[(x._r1, x._r2) for x in table[r._place : r._place + r._left]] for r in table]
+    array = line_dedup.suffix_array(lines)
+    got = sorted(array.collect(), key=lambda r: r._sa)
+    assert sorted(r._place for r in got) == list(range(len(table)))
+    assert [slices[r._place] for r in got] == sorted(slices)
+
+    def common(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+
+    assert [r._lcp for r in got] == [0] + [common(slices[a._place], slices[b._place]) for a, b in zip(got, got[1:])]
+    longest = [max((common(slices[q], slices[p]) for q in range(p)), default=0) for p in range(len(table))]
+    for block in (3, line_dedup.BLOCK):
+        found = {r._place: r._length for r in line_dedup.earlier_runs(array, block).collect()}
+        assert found == {p: n for p, n in enumerate(longest) if n}
+
+
+def test_long_copies(some_docs):
+    """Long runs with nested repeats, where ranks need many levels and jumps."""
+    rng = random.Random(5)
+    base = [rng.choice("abcdef") * rng.randint(1, 2) for _ in range(70)]
+    rows = [(d, "\n".join(base[rng.randint(0, 30) : rng.randint(40, 70)] + ["aa"] * rng.randint(0, 9))) for d in range(8)]
+    for least in (1, 6):
+        got = {r.doc_id: r.text for r in line_dedup.deduped(some_docs(rows), least).collect()}
+        assert got == {r[0]: t for r, t in zip(rows, brute(rows, least))}
+
+
+def test_intervals_across_blocks():
+    """Scanning block by block from carried intervals equals one scan."""
+    rng = random.Random(2)
+    for _ in range(200):
+        n = rng.randint(1, 30)
+        places, lcp = rng.sample(range(n), n), [0] + [rng.choice((0, 1, 1, 2, 3, 5)) for _ in range(n - 1)]
+        whole, parts, stack = line_dedup.scan(places, lcp, []), [], []
+        for a in range(0, n, 4):
+            parts += line_dedup.scan(places[a : a + 4], lcp[a : a + 4], list(stack))
+            alone = []
+            line_dedup.scan(places[a : a + 4], lcp[a : a + 4], alone)
+            stack = line_dedup.carried(stack, line_dedup.frontier(alone), lcp[a])
+            assert len({s for _, s in stack[1:]}) == len(stack[1:])
+        assert parts == whole
+
+
+def test_covered():
+    assert line_dedup.covered([0, 1, 2, 5], [3, 5, 9, 2], [2, 1, 0, 1], 8) == [(0, 1)]
+    assert line_dedup.covered([], [], [], 8) == []
 
 
 def test_text_without_spaces(some_docs):
