@@ -41,6 +41,8 @@ WORDS = 8
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{2}|[\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]{4}"
 #: Suffixes in a block of the array, which one task scans at a time.
 BLOCK = 1 << 14
+#: All characters of these scripts lie here, few of others do.
+UNSPACED_RANGE = r"[\u0E00-\u1FFF\u2E80-\x{10FFFF}]"
 KEY = ["_k1", "_k2"]
 ID = ["_r1", "_r2"]
 
@@ -49,14 +51,21 @@ def _line_table(docs: DataFrame) -> DataFrame:
     lines = docs.select(
         *key_columns("doc_id", "text"), "doc_id", F.posexplode(F.split("text", "\n")).alias("_pos", "_line")
     )
+    line = F.col("_line")
     # Two Han or four Thai characters take at least four bytes more than characters, so most lines have none.
-    may = F.octet_length("_line") - F.length("_line") >= 4
-    unspaced = F.when(may, F.regexp_count("_line", F.lit(UNSPACED))).otherwise(0)
+    may = (F.octet_length(line) - F.length(line) >= 4) & line.rlike(UNSPACED_RANGE)
+    unspaced = F.when(may, F.regexp_count(line, F.lit(UNSPACED))).otherwise(0)
+    # Words parted by single spaces only are counted by the spaces.
+    other = line.startswith(" ") | line.endswith(" ") | line.contains("  ") | (line == "")
+    for blank in "\t\x0b\x0c\r":
+        other = other | line.contains(blank)
+    by_spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    spaced = F.when(other, F.regexp_count(line, F.lit(WORD))).otherwise(by_spaces)
     return lines.select(
         *KEY,
         "doc_id",
         "_pos",
-        (F.regexp_count("_line", F.lit(WORD)) + unspaced).alias("_words"),
+        (spaced + unspaced).alias("_words"),
         F.xxhash64("_line").alias("_r1"),
         F.xxhash64(F.lit("second"), "_line").alias("_r2"),
     )

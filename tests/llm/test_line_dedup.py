@@ -6,6 +6,8 @@ import re
 import pytest
 from casework.llm import line_dedup
 
+from pyspark.sql import functions as F
+
 from .conftest import doc_rows, sentence
 
 
@@ -143,3 +145,16 @@ def test_text_without_spaces(some_docs):
     rows = [(2 * k + n, f"{n}\n{line}\n谢谢") for k, line in enumerate(long) for n in (0, 1)]
     got = {r.doc_id: r.text for r in line_dedup.deduped(some_docs(rows)).collect()}
     assert got == {2 * k + n: "0\n" + line + "\n谢谢" if n == 0 else "1" for k, line in enumerate(long) for n in (0, 1)}
+
+
+def test_words_of_lines(some_docs):
+    """The short ways of counting equal the two patterns on lines of every kind."""
+    rng = random.Random(4)
+    parts = ["a", "bc", " ", "  ", "\t", "\r", "\x0b", "\x0c", "\u00a0", "é", "ж", "—", "谢谢", "ภาษา", "ក", "𠀀", "ｱ", "က"]
+    lines = ["", " ", "a ", " a", "a b"] + ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(400)]
+    table = line_dedup._line_table(some_docs([(0, "\n".join(lines))]))
+    pattern = some_docs([(0, "\n".join(lines))]).select(F.posexplode(F.split("text", "\n")).alias("_pos", "line")).select(
+        "_pos",
+        (F.regexp_count("line", F.lit(line_dedup.WORD)) + F.regexp_count("line", F.lit(line_dedup.UNSPACED))).alias("n"),
+    )
+    assert {(r._pos, r._words) for r in table.collect()} == {(r._pos, r.n) for r in pattern.collect()}
