@@ -226,3 +226,21 @@ def test_sorted_parts_split_a_huge_case(spark, tmp_path):
 
 def test_struct_has_all_history_columns():
     assert struct(HISTORY_COLUMNS).names == list(HISTORY_COLUMNS)
+
+
+def test_a_history_is_written_where_its_rows_are(spark, tmp_path):
+    """No shuffle of the wide rows before the write: every part of the frame leaves its own file."""
+    data = lines(spark, [(f"k{i}", DAY, float(i)) for i in range(40)]).repartition(5)
+    commit = append_history(data, f"{tmp_path}/h", DAY)
+    written = [f for f in files.children(spark, commit.folder(f"{tmp_path}/h")) if f.endswith(".parquet")]
+    assert len(written) == 5 and all(f.endswith(".zstd.parquet") for f in written)
+    assert shown(read_history(spark, f"{tmp_path}/h")) == shown(data)
+
+
+def test_committed_runs_write_the_wide_rows_once(spark):
+    from casework_checks.registry import Tables, _committed_runs
+
+    staging = Staging(spark)
+    path = _committed_runs(Tables(spark, "/root/testdata/sf0.001"), staging)
+    assert staging.written == {} and read_history(spark, path).count() > 0
+    staging.clear()
