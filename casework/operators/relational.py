@@ -91,6 +91,21 @@ def with_filter_hit(df: DataFrame, key: str, bits: DataFrame, blocks: int = 2048
     return joined.withColumn(hit, F.coalesce(may, F.lit(False))).drop("__line_block", "__block", "__bits")
 
 
+def may_match(df: DataFrame, values: DataFrame, on: Sequence[str], blocks: int = 2048) -> DataFrame:
+    """Rows of ``df`` that may have their columns ``on`` among ``values``; those left out surely have not.
+
+    For wide rows of which few match: an exact join after it shuffles only what is kept here.
+    The columns are hashed, so they must be of one type on both sides and not floating.
+    """
+    for c in on:
+        kinds = {df.schema[c].dataType.simpleString(), values.schema[c].dataType.simpleString()}
+        if len(kinds) > 1 or kinds & {"float", "double"}:
+            raise TypeError(f"{c} cannot be hashed alike: {sorted(kinds)}")
+    name = F.xxhash64(*on).alias("__name")
+    bits = key_filter(values.select(name), "__name", blocks)
+    return with_filter_hit(df.select("*", name), "__name", bits, blocks).filter("__hit").drop("__name", "__hit")
+
+
 def not_in_filtered(
     df: DataFrame, key: str, excluded: DataFrame, ignore_null_keys: bool = False, blocks: int = 2048
 ) -> DataFrame:

@@ -11,16 +11,18 @@ history's, so a refresh that fails leaves the state as it was.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casework.operators.relational import without_keys
-from casework.operators.reports import SNAPSHOT_SOURCE, newest_rows, with_suggested_price
+from casework.operators.relational import may_match, without_keys
+from casework.operators.reports import SNAPSHOT_SOURCE, newest_days, newest_rows, with_suggested_price
 from casework.session import tune
 from casework.sources import files
 from casework.sources.history import Commit, commits, read_versions
 from casework.sources.schemas import RUN_DATE
+from casework.sources.staging import Staging
 
 _STATE_COLUMNS = "sequence bigint, version string, taken map<string,string>"
 KEY = "acct_item_key"
@@ -49,17 +51,31 @@ def refresh_snapshot(spark: SparkSession, history_path: str, path: str) -> DataF
     changed = [d for d, c in current.items() if taken.get(d) != c.version]
     if version is not None and not changed:
         return read_snapshot(spark, path)
-    merged = _rows(spark, history_path, [current[d] for d in changed])
-    if version is not None:
-        state = _state_rows(spark, path, version)
-        replaced = [d for d in changed if d in taken]
+    replaced = [d for d in changed if d in taken]
+    fresh_rows = _rows(spark, history_path, [current[d] for d in changed])
+    others = _rows(spark, history_path, [c for d, c in current.items() if d not in changed]) if replaced else None
+
+    def merged(cut: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The rows among which the newest are, each source passed through ``cut`` before it is joined."""
+        rows = cut(fresh_rows)
+        if version is None:
+            return rows
+        before = _state_rows(spark, path, version)
+        state = cut(before)
         if replaced:
-            lost = state.filter(F.date_format(RUN_DATE, "yyyy-MM-dd").isin(replaced)).select(KEY).distinct()
-            others = _rows(spark, history_path, [c for d, c in current.items() if d not in changed])
-            state = without_keys(state, KEY, lost).unionByName(others.join(lost, KEY, "left_semi"))
-        merged = state.unionByName(merged)
+            lost = before.filter(F.date_format(RUN_DATE, "yyyy-MM-dd").isin(replaced)).select(KEY).distinct()
+            state = without_keys(state, KEY, lost).unionByName(cut(others).join(lost, KEY, "left_semi"))
+        return state.unionByName(rows)
+
+    # The dates are found from two columns; of the wide rows only those that may have one are shuffled.
+    staging = Staging(spark)
+    days = staging.stage(newest_days(merged(lambda rows: rows.select(KEY, "insrt_dt"))), "days")
+    found = newest_rows(merged(lambda rows: may_match(rows, days, [KEY, "insrt_dt"])))
     fresh = f"{sequence + 1:08d}-{uuid.uuid4().hex}"
-    newest_rows(merged).hint("rebalance").write.parquet(f"{path}/rows/version={fresh}")
+    try:
+        found.write.option("compression", "zstd").parquet(f"{path}/rows/version={fresh}")
+    finally:
+        staging.clear()
     row = (sequence + 1, fresh, {d: c.version for d, c in current.items()})
     spark.createDataFrame([row], _STATE_COLUMNS).coalesce(1).write.mode("append").parquet(f"{path}/commits")
     if version is not None:

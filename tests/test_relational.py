@@ -13,6 +13,7 @@ from casework.operators.relational import (
     first_rows,
     key_filter,
     latest_rows,
+    may_match,
     not_in,
     not_in_filtered,
     null_safe_join,
@@ -172,3 +173,15 @@ def test_numbered_top_is_dense_and_breaks_ties_by_key(spark):
     df = spark.createDataFrame([("c", 5), ("a", 5), ("b", 9), ("d", 1)], "k string, s int")
     out = numbered_top(df, "s", 3, ["k"], "n")
     assert rows(out.select("n", "k")) == [(1, "b"), (2, "a"), (3, "c")]
+
+
+def test_wide_rows_that_cannot_match_are_left_out_before_a_join(spark):
+    df = spark.range(40_000).select(F.concat(F.lit("k"), F.col("id") % 500).alias("k"), F.expr("date '2021-01-01' + cast(id div 500 as int)").alias("d"), "id")
+    days = df.groupBy("k").agg(F.max("d").alias("d"))
+    kept = may_match(df, days, ["k", "d"], blocks=8)
+    assert kept.columns == df.columns and kept.count() < 2_000
+    assert rows(kept.join(days, ["k", "d"])) == rows(df.join(days, ["k", "d"]))
+    nulls = df.select(F.lit(None).cast("string").alias("k"), "d").limit(5)
+    assert nulls.join(may_match(days, nulls, ["k", "d"]), ["k", "d"]).count() == 0
+    with pytest.raises(TypeError, match="hashed alike"):
+        may_match(df.withColumn("k", F.col("id")), days, ["k", "d"])
