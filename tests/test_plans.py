@@ -78,3 +78,22 @@ def test_line_key_joins_of_the_case_table_move_nothing(spark, tables):
     bucketed = [name for name in staging.written if re.search(rf"spark_catalog\.default\.\w+_{name}\[", plan)]
     assert {"case_lines", "cases", "sales", "line_prices", "line_tiers"} <= set(bucketed)
     staging.clear()
+
+
+def test_shuffles_start_with_many_parts(spark, tables):
+    """A task's share of a join doesn't grow with the input while the session's few parts stay."""
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 4
+    assert re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L, 256\)", physical(tables["history"]))
+
+
+def test_customers_meet_the_orders_before_the_lines(tables):
+    """The lines are dealt out by order, part and supplier, not once more by customer."""
+    moved = re.findall(r"Exchange hashpartitioning\((\w+)#", physical(tables["status"]))
+    assert sorted(moved) == sorted(["o_custkey", "c_custkey", "o_orderkey", "l_orderkey", "l_partkey", "p_partkey", "l_suppkey", "s_suppkey"])
+    lines = [m for m in re.findall(r"Exchange hashpartitioning\(o_custkey.*\n(?:.*\n){4}", physical(tables["status"]))]
+    assert all("l_orderkey" not in text for text in lines)
+
+
+def test_wide_projections_are_compiled_by_expression(spark, tables):
+    """Java doesn't compile methods of over 8,000 bytes, so Spark must not make them."""
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
