@@ -8,6 +8,7 @@ reaches the join only, where adaptive execution splits it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,33 +32,41 @@ def not_in(df: DataFrame, key: str, excluded: DataFrame, ignore_null_keys: bool
     if ignore_null_keys:
         values = values.filter(F.col("__excluded").isNotNull())
     values = values.distinct()
-    facts = values.agg(
-        F.struct(
-            (F.count(F.lit(1)) == 0).alias("is_empty"),
-            F.coalesce(F.bool_or(F.col("__excluded").isNull()), F.lit(False)).alias("has_null"),
-        ).alias("facts")
-    ).scalar()
-    # Null-safe, so that no null filter is pushed below the shared part; a row it
-    # drops for its null key is rejected by the filter anyway.
-    kept = df.join(values, F.col(key).eqNullSafe(F.col("__excluded")), "left_anti")
-    return kept.filter(
-        facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))
-    )
+    return without_values(df, key, values).filter(passes_nulls(key, set_facts(values)))
+
+
+def without_values(df: DataFrame, key: str, excluded: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is none of the distinct values of a one-column frame; null equals null.
+
+    Null-safe, so that no null filter is pushed below the part shared with ``set_facts``; a
+    row it drops for its null key is rejected by ``NOT IN`` anyway.
+    """
+    values = excluded.select(F.col(excluded.columns[0]).alias("__excluded"))
+    return df.join(values, F.col(key).eqNullSafe(F.col("__excluded")), "left_anti")
 
 
 #: Bits of one block of a key filter: what ``bitmap_construct_agg`` gathers into one binary of 4 KB.
 BLOCK_BITS = 32_768
-#: Bits a key sets within its block.
-KEY_BITS = 4
+#: Words of 64 bits in a line of a block. A key sets a bit in each word of one line, so its test reads one line.
+LINE_WORDS = 4
+LINES = BLOCK_BITS // (64 * LINE_WORDS)
 
 
 def _block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(blocks))
 
 
-def _places(key: Column) -> list[Column]:
+def _bits(key: Column) -> tuple[Column, list[Column]]:
+    """A key's line in its block, and its bit in each word of the line."""
     mixed = F.xxhash64(F.lit("bits"), key)
-    return [F.shiftrightunsigned(mixed, 16 * k).bitwiseAND(F.lit(BLOCK_BITS - 1)) for k in range(KEY_BITS)]
+    bits = [F.shiftrightunsigned(mixed, 7 + 6 * k).bitwiseAND(F.lit(63)).cast("int") for k in range(LINE_WORDS)]
+    return mixed.bitwiseAND(F.lit(LINES - 1)), bits
+
+
+def _places(key: Column) -> list[Column]:
+    """A key's bits as places in the block, whose bytes make words from their upper end."""
+    line, bits = _bits(key)
+    return [line * 64 * LINE_WORDS + 64 * k + bit.bitwiseXOR(F.lit(56)) for k, bit in enumerate(bits)]
 
 
 def key_filter(values: DataFrame, key: str, blocks: int = 2048) -> DataFrame:
@@ -71,24 +80,36 @@ def key_filter(values: DataFrame, key: str, blocks: int = 2048) -> DataFrame:
     return bits.groupBy("__block").agg(F.bitmap_construct_agg("__place").alias("__bits"))
 
 
+def _lines(bits: DataFrame) -> DataFrame:
+    """The lines of a key filter that have bits: number and words. A row's join to them copies 32 bytes, not a block."""
+    half = "cast(conv(hex(substr(__bits, {}, 4)), 16, 10) as bigint)"
+    at = f"i * {8 * LINE_WORDS}"
+    words = [
+        f"shiftleft({half.format(f'{at} + {8 * k + 1}')}, 32) | {half.format(f'{at} + {8 * k + 5}')} as __w{k}"
+        for k in range(LINE_WORDS)
+    ]
+    line = f"struct(__block * {LINES} + i as __line, {', '.join(words)})"
+    lines = bits.select(F.expr(f"inline(transform(sequence(0, {LINES - 1}), i -> {line}))"))
+    return lines.filter("__w0 != 0")
+
+
 def with_filter_hit(df: DataFrame, key: str, bits: DataFrame, blocks: int = 2048, hit: str = "__hit") -> DataFrame:
     """Adds whether a key may be among those of ``bits``; false is certain, and so is a null key's false.
 
-    ``bits`` has 4 KB a block whatever the number of keys, so its broadcast has that bound.
+    ``bits`` has 4 KB a block whatever the number of keys, so its broadcast as lines has a bound, too.
     """
-    joined = df.withColumn("__line_block", _block(F.col(key), blocks)).join(
-        F.broadcast(bits), F.col("__line_block") == F.col("__block"), "left"
+    line, places = _bits(F.col(key))
+    number = F.when(F.col(key).isNotNull(), _block(F.col(key), blocks) * LINES + line)
+    joined = df.withColumn("__key_line", number).join(
+        F.broadcast(_lines(bits)), F.col("__key_line") == F.col("__line"), "left"
     )
-
-    def is_set(place: Column) -> Column:
-        byte = F.substr(F.col("__bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
-        value = F.conv(F.hex(byte), 16, 10).cast("int")
-        return F.pmod(F.floor(value / F.pow(F.lit(2), place.bitwiseAND(F.lit(7)))), F.lit(2)) == 1
-
-    may = F.col(key).isNotNull() & F.col("__bits").isNotNull()
-    for place in _places(F.col(key)):
-        may = may & is_set(place)
-    return joined.withColumn(hit, F.coalesce(may, F.lit(False))).drop("__line_block", "__block", "__bits")
+    set_bits = [
+        F.call_function("shiftright", F.col(f"__w{k}"), place).bitwiseAND(F.lit(1)) == 1
+        for k, place in enumerate(places)
+    ]
+    may = reduce(lambda a, b: a & b, set_bits)
+    words = [f"__w{k}" for k in range(LINE_WORDS)]
+    return joined.withColumn(hit, F.coalesce(may, F.lit(False))).drop("__key_line", "__line", *words)
 
 
 def may_match(df: DataFrame, values: DataFrame, on: Sequence[str], blocks: int = 2048) -> DataFrame:
@@ -127,16 +148,50 @@ def not_in_filtered(
     probed = with_filter_hit(df, key, key_filter(values, "__excluded", blocks), blocks)
     open_rows = probed.filter("__hit").drop("__hit")
     ruled_out = probed.filter("not __hit").drop("__hit")
-    facts = values.agg(
+    facts = set_facts(values)
+    kept = open_rows.join(values, F.col(key).eqNullSafe(F.col("__excluded")), "left_anti").unionByName(ruled_out)
+    return kept.filter(passes_nulls(key, facts))
+
+
+def hashed_alike(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> bool:
+    """Whether equal values of the paired columns have equal hashes: one type on both sides, not floating."""
+    kinds = [{left.schema[a].dataType.simpleString(), right.schema[b].dataType.simpleString()} for a, b in pairs]
+    return all(len(k) == 1 and not k & {"float", "double"} for k in kinds)
+
+
+def may_be_listed(
+    df: DataFrame, lists: Sequence[tuple[Sequence[str], DataFrame]], hit: str, blocks: int = 2048
+) -> DataFrame:
+    """Adds whether a row may have its columns in one of ``lists``; false is certain.
+
+    A list is columns of ``df`` and a frame whose columns are compared with them in turn; a
+    null there matches nothing. An exact test has to shuffle the rows with a hit only.
+    """
+    names = []
+    for i, (columns, values) in enumerate(lists):
+        if not hashed_alike(df, values, list(zip(columns, values.columns, strict=True))):
+            raise TypeError(f"{list(columns)} cannot be hashed alike")
+        keys = values.dropna().select(F.xxhash64(*values.columns).alias("__name"))
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        named = df.withColumn("__name", F.when(known, F.xxhash64(*columns)))
+        df = with_filter_hit(named, "__name", key_filter(keys, "__name", blocks), blocks, f"__{i}{hit}").drop("__name")
+        names.append(f"__{i}{hit}")
+    return df.withColumn(hit, reduce(lambda a, b: a | b, [F.col(n) for n in names])).drop(*names)
+
+
+def set_facts(values: DataFrame) -> Column:
+    """Whether a one-column frame is empty, and whether it has a null: what ``NOT IN`` asks of a set beside its values."""
+    return values.agg(
         F.struct(
             (F.count(F.lit(1)) == 0).alias("is_empty"),
-            F.coalesce(F.bool_or(F.col("__excluded").isNull()), F.lit(False)).alias("has_null"),
+            F.coalesce(F.bool_or(F.col(values.columns[0]).isNull()), F.lit(False)).alias("has_null"),
         ).alias("facts")
     ).scalar()
-    kept = open_rows.join(values, F.col(key).eqNullSafe(F.col("__excluded")), "left_anti").unionByName(ruled_out)
-    return kept.filter(
-        facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))
-    )
+
+
+def passes_nulls(key: str, facts: Column) -> Column:
+    """``NOT IN``'s rule for a row whose key equals no excluded value."""
+    return facts.getField("is_empty") | (F.col(key).isNotNull() & ~facts.getField("has_null"))
 
 
 def without_keys(df: DataFrame, key: str, taken: DataFrame) -> DataFrame:

@@ -68,7 +68,10 @@ def assign_cases(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cases of all teams, with the pools and the sales they were built from."""
     status = inputs["status"]
-    candidates = stage(select_candidates(status, history, inputs["exclusions"], as_of, settings), "candidates")
+    candidates = stage(
+        select_candidates(status, history, inputs["exclusions"], as_of, settings, None if stage is _keep else stage),
+        "candidates",
+    )
     pools = stage(
         latest_pool(
             status, inputs["customer_blend"], inputs["customer_pool"], inputs["pool"], as_of, settings.pool_types

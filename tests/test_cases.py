@@ -21,6 +21,8 @@ from casework.operators.cases import (
 from casework.operators.pools import latest_pool
 from casework.settings import COOL_DOWN_DAYS, Settings
 from casework.sources.schemas import EXCLUSIONS, STATUS, struct
+from casework.sources.staging import Staging, release
+from test_relational import _shuffled_rows
 
 DAY = dt.timedelta(days=1)
 HISTORY = "acct_item_key string, insrt_dt date, team_assigned string, pool_num long"
@@ -188,3 +190,60 @@ def test_composite_exclusion_keys_do_not_collide(spark):
     key = line.acct_item_key
     assert plain.filter(F.col("acct_item_key") == key).count() == 0
     assert exact.filter(F.col("acct_item_key") == key).count() > 0
+
+
+def _listed(spark):
+    """Lines, a history and an exclusion list with nulls in their keys; 1 line in 40 is on a list."""
+    def key(n):
+        return F.when(F.col("id") % 997 > 0, F.concat(F.lit("k"), n.cast("string")))
+
+    lines = spark.range(8_000).select(
+        *[
+            {
+                "acct_item_key": key(F.col("id")),
+                "ship_to": F.when(F.col("id") % 53 > 0, F.col("id") % 400),
+                "item_e1_num": F.when(F.col("id") % 59 > 0, F.col("id")),
+                "pndg_mmr_opp": F.lit(1),
+            }.get(c, F.lit(None)).cast(kind).alias(c)
+            for c, kind in STATUS.items()
+        ]
+    )
+    history = spark.range(0, 8_000, 80).select(
+        F.concat(F.lit("k"), "id").alias("acct_item_key"), F.lit(AS_OF).alias("insrt_dt"),
+        F.lit("CCT").alias("team_assigned"), F.lit(None).cast("long").alias("pool_num"),
+    )
+    exclusions = spark.range(7, 8_000, 80).select(
+        F.when(F.col("id") % 400 == 7, -1).otherwise(F.col("id") % 400).cast("long").alias("ship_to"),
+        F.col("id").alias("item_e1_num"),
+    )
+    return lines, history, exclusions
+
+
+def test_staged_open_lines_give_the_same_candidates(spark):
+    lines, history, exclusions = _listed(spark)
+    undated = history.withColumn("acct_item_key", F.when(F.col("acct_item_key") != "k80", F.col("acct_item_key")))
+    blank = exclusions.select(F.lit(None).cast("long").alias("ship_to"), F.lit(None).cast("long").alias("item_e1_num"))
+    for past in (history, undated, history.limit(0)):
+        for listed in (exclusions, exclusions.union(blank), exclusions.limit(0)):
+            for composite in (False, True):
+                args = past, listed, AS_OF, Settings(composite_exclusion_keys=composite)
+                plain = select_candidates(lines, *args)
+                assert rows(select_candidates(lines, *args, Staging(spark).stage)) == rows(plain)
+    assert 7_000 < select_candidates(lines, history, exclusions, AS_OF).count() < 7_900
+    release(spark)
+
+
+def test_candidates_shuffle_only_lines_that_may_be_listed(spark):
+    lines, history, exclusions = _listed(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = []
+        for stage in (None, Staging(spark).stage):
+            df = select_candidates(lines, history, exclusions, AS_OF, stage=stage)
+            plan = df._jdf.queryExecution().executedPlan()
+            df.collect()
+            shuffled.append(_shuffled_rows(plan))
+        assert shuffled[0] > 8_000 > 1_500 > shuffled[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        release(spark)
