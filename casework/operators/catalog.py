@@ -162,10 +162,11 @@ OFFER = ["var_cst_cont", "var_cst_cont_id", "var_cst_cont_name", "var_cst_cont_t
 
 
 def catalog_offers(ipc: DataFrame) -> DataFrame:
-    """Distinct variable-cost offers of the catalog with the two minima of their lines.
+    """The variable-cost offers of the catalog's lines with the two costs that minima are taken of.
 
     The one pass over the catalog: everything about the cheapest contract of
-    both platforms follows from this frame.
+    both platforms follows from this frame. Equal offers are not made one here:
+    that would move every line once more, and the offers at a minimum are few.
     """
     new_and_cheaper = (F.col("sys_pltfrm") == PLATFORM_NEW) & pricing_is_cheaper()
     strict = least_strict(F.col("comp_cost_initial"), F.col("pricing_cost_initial"))
@@ -186,10 +187,6 @@ def catalog_offers(ipc: DataFrame) -> DataFrame:
             F.col("comp_cost_initial").alias("least_comp"),
             strict.alias("least_cost"),
         )
-        .groupBy(
-            "price_source", "item_e1_num", "item_as400_num", "sys_pltfrm", "item", "mn_lpg_prca_cost", *OFFER
-        )
-        .agg(F.min("least_comp").alias("least_comp"), F.min("least_cost").alias("least_cost"))
     )
 
 

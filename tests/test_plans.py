@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from casework.operators.catalog import cheapest_contract, connected_share
+from casework.operators.catalog import catalog_offers, cheapest_contract, cheapest_contract_all, connected_share
 from casework.operators.enrich import attach_sales
 from casework.operators.reports import latest_snapshot
 from casework_checks.registry import Tables
@@ -97,3 +97,12 @@ def test_customers_meet_the_orders_before_the_lines(tables):
 def test_wide_projections_are_compiled_by_expression(spark, tables):
     """Java doesn't compile methods of over 8,000 bytes, so Spark must not make them."""
     assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_catalog_offers_are_taken_in_one_pass_without_a_shuffle(tables):
+    """Lines move for the minima and for their join alone; equal lines give one row all the same."""
+    ipc = tables.written("ipc")
+    assert exchanges(catalog_offers(ipc)) == 0
+    others = tables["item"], tables["contract_tier"], tables["gpo"], AS_OF
+    once = cheapest_contract_all(ipc, *others)
+    assert sorted(map(repr, cheapest_contract_all(ipc.union(ipc), *others).collect())) == sorted(map(repr, once.collect()))
