@@ -30,6 +30,7 @@ from casework.operators.enrich import (
     resolve_address,
 )
 from casework.operators.pools import latest_pool, with_pool
+from casework.operators.relational import may_match
 from casework.operators.price_lines import (
     PRICE_LINE_COLUMNS,
     attach_price_source,
@@ -85,8 +86,10 @@ def assign_cases(
     sales = stage(attach_sales(candidates, inputs["weekly_txn"]), "sales", "acct_item_key")
     lines = with_pool(candidates, pools)
     residual = stage(residual_lines(lines, contract_cases), "residual")
+    # Few lines are in a contract case: the others are left out before the pools are looked up for these.
+    in_contract = may_match(candidates, contract_cases.select("acct_item_key"), ["acct_item_key"])
     cases = union_cases(
-        pooled_contract_cases(contract_cases, lines),
+        pooled_contract_cases(contract_cases, with_pool(in_contract, pools)),
         pool_cases(residual, history, as_of, settings.pool_cool_down_days, settings.ignore_null_pools),
         top_customer_vendor_cases(residual, sales, settings.top_customer_vendors),
     )

@@ -8,7 +8,11 @@ import pytest
 
 from casework.operators.catalog import catalog_offers, cheapest_contract, cheapest_contract_all, connected_share
 from casework.operators.enrich import attach_sales
+from casework.operators.pools import with_pool
 from casework.operators.reports import latest_snapshot
+from casework.plans import batch
+from casework.settings import Settings
+from casework.sources.staging import Staging
 from casework_checks.registry import Tables
 from casework_checks.views import AS_OF
 
@@ -106,3 +110,13 @@ def test_catalog_offers_are_taken_in_one_pass_without_a_shuffle(tables):
     others = tables["item"], tables["contract_tier"], tables["gpo"], AS_OF
     once = cheapest_contract_all(ipc, *others)
     assert sorted(map(repr, cheapest_contract_all(ipc.union(ipc), *others).collect())) == sorted(map(repr, once.collect()))
+
+
+def test_pools_of_contract_cases_are_looked_up_for_few_lines(spark, tables, monkeypatch):
+    """Lines that a key filter of the contract cases rules out don't meet the pools a second time."""
+    met = []
+    monkeypatch.setattr(batch, "with_pool", lambda lines, pools: met.append(lines.count()) or with_pool(lines, pools))
+    staging = Staging(spark)
+    batch.assign_cases(tables.inputs(), tables["history"], AS_OF, Settings(top_contracts=5), staging.stage)
+    assert len(met) == 2 and staging.rows["contract_cases"] <= met[1] < met[0] / 2
+    staging.clear()
