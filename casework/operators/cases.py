@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from casework.functions import joined_text, year_month_day
 from casework.functions.dates import recent_rows
-from casework.operators.relational import not_in, numbered_top, without_keys
+from casework.operators.relational import not_in, numbered_top, without_few_keys
 from casework.settings import (
     COST_INCREASE_TYPES,
     PLATFORM_NEW,
@@ -70,8 +70,8 @@ def pooled_contract_cases(cases: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def residual_lines(lines: DataFrame, taken: DataFrame) -> DataFrame:
-    """Lines not yet in a case."""
-    return without_keys(lines, "acct_item_key", taken.select("acct_item_key"))
+    """Lines not yet in a case. Few are, so the others are kept where they are."""
+    return without_few_keys(lines, "acct_item_key", taken.select("acct_item_key"))
 
 
 def pool_cases(

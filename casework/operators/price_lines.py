@@ -16,7 +16,7 @@ from casework.operators.catalog import (
     standard_account_connected,
     variable_cost_lines,
 )
-from casework.operators.relational import first_rows
+from casework.operators.relational import first_rows, may_match
 from casework.operators.status import resolved
 from casework.settings import PLACEHOLDER_CONTRACTS_V2, PLATFORM_NEW, Settings
 
@@ -57,11 +57,13 @@ def attach_price_source(cases: DataFrame, status: DataFrame) -> DataFrame:
     lines = status.select(
         "acct_item_key", resolved("curr_prc_src").alias("price_source"), "item_e1_num"
     )
-    return cases.join(lines, "acct_item_key")
+    return cases.join(may_match(lines, cases, ["acct_item_key"]), "acct_item_key")
 
 
-def _catalog_rows(ipc: DataFrame) -> DataFrame:
-    return ipc.withColumnsRenamed({"local_pricing_group_id": "lpg_id"}).withColumn("acct_item_key", catalog_key())
+def _catalog_rows(ipc: DataFrame, cases: DataFrame) -> DataFrame:
+    """Catalog rows that may be lines of ``cases``: few of the catalog, so the others are not moved to be joined."""
+    rows = ipc.withColumnsRenamed({"local_pricing_group_id": "lpg_id"}).withColumn("acct_item_key", catalog_key())
+    return may_match(rows, cases, ["acct_item_key"])
 
 
 def _tier_ids(tiers: DataFrame) -> DataFrame:
@@ -122,10 +124,12 @@ def price_case_lines(
     groups = case_lines.select(*GROUP).filter(
         F.col("price_source").isNotNull() & F.col("item_e1_num").isNotNull()
     ).distinct()
-    cheapest = stage(cheapest_contract(ipc, groups, settings.placeholder_contracts), "cheapest_contract")
+    # Few groups of the catalog have a case line: the lines of the others are left out before they are moved.
+    grouped = may_match(ipc, groups, GROUP)
+    cheapest = stage(cheapest_contract(grouped, groups, settings.placeholder_contracts), "cheapest_contract")
     cases = case_lines.select("acct_item_key", *_CASE_FIELDS)
     lines = stage(
-        _catalog_rows(ipc)
+        _catalog_rows(ipc, cases)
         .join(cases, "acct_item_key")
         .select(
             "acct_item_key", *_CASE_FIELDS, *GROUP, "ship_to", "bus_pltfrm", "acct_or_bill_to",
@@ -136,7 +140,7 @@ def price_case_lines(
         "case_catalog",
     )
     chosen = cheapest.join(lines.select(*GROUP).distinct(), GROUP, "left_semi")
-    share = connected_share(ipc, chosen)
+    share = connected_share(grouped, chosen)
     reference_lines = lines.filter(F.col("price_source_pcca") == F.col("ship_to")).join(chosen, GROUP)
     connected = standard_account_connected(reference_lines, GROUP)
     per_group = chosen.join(share, ["price_source", "var_cst_cont"], "left").join(connected, GROUP, "left")
@@ -174,7 +178,7 @@ def price_case_lines_v2(
         joined_text(F.col("price_source"), ",", F.col("item_e1_num")).alias("group_key"),
     )
     lines = stage(
-        _catalog_rows(ipc)
+        _catalog_rows(ipc, cases)
         .join(cases, "acct_item_key")
         .select(
             "acct_item_key", *_CASE_FIELDS, "group_key", *GROUP, "sys_pltfrm", "ship_to", "bus_pltfrm",
@@ -213,7 +217,8 @@ def price_case_lines_v2(
     )
     offered = lines.drop("vrcst_gpo_name").join(_with_tier(winners, tiers, lenient), "group_key", "left")
     priced = stage(offered, "priced_v2")
-    share = connected_share(ipc, priced.select(*GROUP, "var_cst_cont"), PLATFORM_NEW)
+    chosen = priced.select(*GROUP, "var_cst_cont").filter(F.col("var_cst_cont").isNotNull()).distinct()
+    share = connected_share(may_match(ipc, chosen, GROUP), chosen, PLATFORM_NEW)
     connected = standard_account_connected(priced, ["price_source_pcca", "var_cst_cont"])
     with_share = priced.join(share.withColumn("has_share", F.lit(True)), ["price_source", "var_cst_cont"], "left")
     # The flag is looked up by contract, but only for lines whose share exists.

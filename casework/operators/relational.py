@@ -112,19 +112,53 @@ def with_filter_hit(df: DataFrame, key: str, bits: DataFrame, blocks: int = 2048
     return joined.withColumn(hit, F.coalesce(may, F.lit(False))).drop("__key_line", "__line", *words)
 
 
+#: Words of 64 bits in a block of the key filter of ``may_match``.
+BLOCK_WORDS = BLOCK_BITS // 64
+
+
+def _match_place(name: Column, words: int) -> tuple[Column, Column]:
+    """The word that a hash lies in, and its two bits there."""
+    bits = [F.shiftrightunsigned(name, at).bitwiseAND(F.lit(63)).cast("int") for at in (52, 58)]
+    one = F.lit(1).cast("long")
+    masks = [F.call_function("shiftleft", one, bit) for bit in bits]
+    return F.pmod(name, F.lit(words)).cast("int"), masks[0].bitwiseOR(masks[1])
+
+
+def _match_words(names: DataFrame, words: int) -> Column:
+    """The words of a key filter of the one-column frame of hashes, as one array that is looked up once.
+
+    Bits are combined before the shuffle, and each word comes once, so the array has ``words`` elements.
+    """
+    word, mask = _match_place(F.col(names.columns[0]), words)
+    empty = names.sparkSession.range(words).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("m"))
+    bits = names.select(word.alias("w"), mask.alias("m")).unionByName(empty).groupBy("w").agg(F.bit_or("m").alias("m"))
+    in_order = F.sort_array(F.collect_list(F.struct("w", "m")))
+    return bits.agg(F.transform(in_order, lambda x: x.getField("m")).alias("words")).scalar()
+
+
 def may_match(df: DataFrame, values: DataFrame, on: Sequence[str], blocks: int = 2048) -> DataFrame:
     """Rows of ``df`` that may have their columns ``on`` among ``values``; those left out surely have not.
 
-    For wide rows of which few match: an exact join after it shuffles only what is kept here.
-    The columns are hashed, so they must be of one type on both sides and not floating.
+    For wide rows of which few match: an exact join after it moves only what is kept here. It is a
+    plain condition on the columns ``on``, which the optimizer takes below the projections and
+    joins that ``df`` is made of, so wide rows are made of the kept ones only.
+    Its filter has 4 KB a block whatever the number of keys. The columns are hashed, so they must be
+    of one type on both sides and not floating.
     """
     for c in on:
         kinds = {df.schema[c].dataType.simpleString(), values.schema[c].dataType.simpleString()}
         if len(kinds) > 1 or kinds & {"float", "double"}:
             raise TypeError(f"{c} cannot be hashed alike: {sorted(kinds)}")
-    name = F.xxhash64(*on).alias("__name")
-    bits = key_filter(values.select(name), "__name", blocks)
-    return with_filter_hit(df.select("*", name), "__name", bits, blocks).filter("__hit").drop("__name", "__hit")
+    return df.filter(_matches(values, on, blocks))
+
+
+def _matches(values: DataFrame, on: Sequence[str], blocks: int) -> Column:
+    """Whether columns ``on`` may be among those of ``values``; false is certain."""
+    words = blocks * BLOCK_WORDS
+    name = F.xxhash64(*on)
+    word, mask = _match_place(name, words)
+    listed = _match_words(values.select(name.alias("__name")), words)
+    return F.bitwise_not(F.get(listed, word)).bitwiseAND(mask) == 0
 
 
 def not_in_filtered(
@@ -205,6 +239,20 @@ def without_keys(df: DataFrame, key: str, taken: DataFrame) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).join(keys, F.col(key) == F.col("__taken"), "left_anti")
 
 
+def without_few_keys(df: DataFrame, key: str, taken: DataFrame, blocks: int = 2048) -> DataFrame:
+    """``without_keys`` for few taken keys among many rows: only rows that a key filter cannot rule out are moved.
+
+    It reads ``df`` twice, once for either part. Keys that cannot be hashed alike are all tested exactly.
+    """
+    name = taken.columns[0]
+    if not hashed_alike(df, taken, [(key, name)]):
+        return without_keys(df, key, taken)
+    listed = taken.select(F.col(name).alias(key)).filter(F.col(key).isNotNull())
+    may = _matches(listed, [key], blocks)
+    ruled_out = df.filter(F.col(key).isNotNull() & ~may)
+    return without_keys(df.filter(may), key, taken).unionByName(ruled_out)
+
+
 def null_safe_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", strict: Sequence[str] = ()
 ) -> DataFrame:

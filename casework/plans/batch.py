@@ -116,7 +116,8 @@ def case_rows(
     # few of them kept. Frames on the line key are staged in buckets of it, so their joins
     # move nothing.
     case_keys = plain_cases.select("acct_item_key").distinct()
-    status = stage(inputs["status"].join(case_keys, "acct_item_key", "left_semi"), "case_lines", "acct_item_key")
+    may_be_case = may_match(inputs["status"], case_keys, ["acct_item_key"])
+    status = stage(may_be_case.join(case_keys, "acct_item_key", "left_semi"), "case_lines", "acct_item_key")
     cases = case_number(plain_cases, as_of)
     priced = attach_price_source(cases, status)
     catalog = inputs["ipc"], priced, inputs["contract_tier"], inputs["customer"]

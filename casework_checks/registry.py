@@ -154,6 +154,15 @@ CANDIDATE_SOURCE = (
 ).split()
 
 
+# What the price lines read of the catalog.
+CATALOG_SOURCE = (
+    "sys_pltfrm bus_pltfrm var_cost item_e1_num price_source price_source_pcca bid_or_prca bid_or_prca_name "
+    "local_pricing_group_id lpg_desc ship_to acct_or_bill_to gpo_name comp_cost_initial pricing_cost_initial "
+    "comp_cost_list_id pricing_cost_list_id comp_cost_cont_name pricing_cost_cont_name comp_cost_cont_type "
+    "pricing_cost_cont_type"
+).split()
+
+
 def _candidate_status(t: Tables) -> DataFrame:
     return t.narrow("status", *CANDIDATE_SOURCE)
 
@@ -170,8 +179,9 @@ def _pools(t: Tables) -> DataFrame:
 
 def _staged_residual(t: Tables, staging: Staging) -> tuple[DataFrame, DataFrame]:
     candidates = staging.stage(_candidates(t), "candidates")
-    lines = with_pool(candidates, _pools(t))
-    return candidates, residual_lines(lines, top_contract_cases(cost_increase_lines(candidates)))
+    lines = with_pool(candidates, staging.stage(_pools(t), "pools"))
+    taken = staging.stage(top_contract_cases(cost_increase_lines(candidates)), "contract_cases")
+    return candidates, residual_lines(lines, taken)
 
 
 def _residual(t: Tables) -> DataFrame:
@@ -193,7 +203,7 @@ def _case_inputs(t: Tables, staging: Staging, *columns: str) -> dict[str, DataFr
     status = t.narrow("status", *columns) if columns else t["status"]
     return t.inputs() | {
         "status": staging.stage(status, "status"),
-        "ipc": staging.stage(t["ipc"], "ipc"),
+        "ipc": staging.stage(t.narrow("ipc", *CATALOG_SOURCE), "ipc"),
     }
 
 
@@ -234,7 +244,7 @@ def _case_table(settings: Settings) -> Callable[[Tables], DataFrame]:
         inputs = t.inputs()
         narrow = inputs | {"status": _candidate_status(t)}
         assigned = assign_cases(narrow, t["history"], AS_OF, settings, staging.stage)
-        inputs |= {"ipc": staging.stage(t["ipc"], "ipc")}
+        inputs |= {"ipc": staging.stage(t.narrow("ipc", *CATALOG_SOURCE), "ipc")}
         return case_rows(inputs, t["history"], AS_OF, settings, staging.stage, assigned)
 
     return build

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -19,6 +20,7 @@ from casework.operators.relational import (
     null_safe_join,
     numbered_top,
     with_filter_hit,
+    without_few_keys,
     without_keys,
 )
 
@@ -185,3 +187,40 @@ def test_wide_rows_that_cannot_match_are_left_out_before_a_join(spark):
     assert nulls.join(may_match(days, nulls, ["k", "d"]), ["k", "d"]).count() == 0
     with pytest.raises(TypeError, match="hashed alike"):
         may_match(df.withColumn("k", F.col("id")), days, ["k", "d"])
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_that_cannot_match_are_left_out_below_wide_projections_and_joins(spark):
+    """The condition reaches the first join that has its columns, so the later join meets few rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    lines = spark.range(2_000).select(F.col("id").alias("o"), (F.col("id") % 50).alias("p"), F.col("id").alias("x"))
+    orders = spark.range(2_000).select(F.col("id").alias("o"), (F.col("id") * 3).alias("c"))
+    parts = spark.range(50).select(F.col("id").alias("p"), F.col("id").cast("string").alias("name"))
+    wide = lines.join(orders, "o").join(parts, "p").select(F.concat("c", F.lit("-"), "p").alias("k"), "x", "name")
+    values = wide.filter(F.col("x") < 20).select("k")
+    found = may_match(wide, values, ["k"], blocks=8)
+    text = plan(found)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    at_part = re.search(r"SortMergeJoin \[p#\d+L\].*", text).group()
+    at_order = re.search(r"SortMergeJoin \[o#\d+L\].*", text).group()
+    assert "Subquery" in at_order and "Subquery" not in at_part
+    assert 20 <= found.count() < 100
+    assert rows(found.join(values, "k")) == rows(wide.join(values, "k"))
+
+
+@pytest.mark.parametrize("taken", [[], ["a"], ["a", None], [None], ["z", "b"]])
+def test_without_few_keys_equals_without_keys(spark, taken):
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(KEYS)], "k string, i int")
+    keys = spark.createDataFrame([(k,) for k in taken], "t string")
+    assert rows(without_few_keys(df, "k", keys, blocks=2)) == rows(without_keys(df, "k", keys))
+
+
+def test_without_few_keys_moves_only_rows_that_may_be_taken(spark):
+    df = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+    taken = df.filter("id % 1000 = 0").select("k")
+    kept = without_few_keys(df, "k", taken, blocks=64)
+    assert kept.count() == 19_980
+    assert may_match(df, taken, ["k"], blocks=64).count() < 100
