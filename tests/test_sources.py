@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import gc
 import random
 import re
+import weakref
 
 import pytest
 from conftest import rows
@@ -160,6 +162,19 @@ def test_staging_counts_and_leaves_nothing(spark):
     assert release(spark) == 0
 
 
+def test_frames_of_staged_tables_are_let_go_but_their_folders_are_cleared(spark):
+    release(spark)
+    staging = Staging(spark)
+    bucketed = staging.stage(spark.range(9).toDF("a"), "b", "a")
+    folder, table = staging.folder, staging._tables["b"]
+    frame = weakref.ref(bucketed)
+    assert bucketed.count() == 9 and spark.catalog.tableExists(table)
+    del staging, bucketed
+    gc.collect()
+    assert frame() is None and files.exists(spark, folder)
+    assert release(spark) == 1 and not files.exists(spark, folder) and not spark.catalog.tableExists(table)
+
+
 def test_joins_of_bucketed_tables_need_no_shuffle(spark):
     staging = Staging(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
