@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from casework.llm import near_dedup
 from casework.llm.components import components
+from test_relational import _shuffled_rows
 
 from .conftest import doc_rows, sentence
 
@@ -230,3 +231,19 @@ def test_rows_grow_with_a_group_of_unlinked_texts(spark):
         lists = near_dedup._lists(prefixes, plan)
         counts.append(near_dedup._tiles(lists, plan).count() + near_dedup._few_pairs(lists, plan).count())
     assert counts[2] <= 2.2 * counts[1] + 100 and counts[1] <= 2.2 * counts[0] + 100
+
+
+def test_only_texts_that_may_have_near_ones_are_shuffled(spark, some_docs):
+    plan, rng = near_dedup.OrderMinHash(), random.Random(5)
+    docs = some_docs([(i, sentence(rng, 12)) for i in range(3000)])
+    rows = near_dedup._sketch_table(docs, plan)
+    wanted = rows.where("doc_id % 300 = 0").select("text_key", *near_dedup.KEY).localCheckpoint()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = near_dedup._labelled_kmers(docs, wanted, plan)
+        executed = found._jdf.queryExecution().executedPlan()
+        kept = {bytes(r.text_key) for r in found.collect()}
+        assert kept == {bytes(r.text_key) for r in wanted.collect()} and len(kept) == 10
+        assert _shuffled_rows(executed) < 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
