@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casework.functions.dates import recent_rows
+from casework.operators.relational import may_match
 from casework.operators.status import increase_type
 from casework.settings import (
     ACQUISITION_TYPES,
@@ -247,6 +248,15 @@ def with_suggested_price(rows: DataFrame) -> DataFrame:
     return rows.withColumn("new_sgstd_prc", suggested).select(*SNAPSHOT_COLUMNS)
 
 
-def latest_snapshot(history: DataFrame) -> DataFrame:
-    """Rows of each line's newest insert date, with a suggested price."""
-    return with_suggested_price(newest_rows(_with_optional(history, ["gpo_cot_name"])))
+def latest_snapshot(history: DataFrame, stage: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """Rows of each line's newest insert date, with a suggested price.
+
+    With ``stage`` the newest dates are written first, from two columns. A key filter of them then leaves
+    out the other rows where they are read, so only those that may be newest are joined and shuffled wide.
+    """
+    rows = _with_optional(history, ["gpo_cot_name"])
+    if stage is None:
+        return with_suggested_price(newest_rows(rows))
+    days = stage(newest_days(rows), "newest_days")
+    on = ["acct_item_key", "insrt_dt"]
+    return with_suggested_price(may_match(rows, days, on).join(days, on))

@@ -697,7 +697,8 @@ ENTRIES: dict[str, Entry] = {
         oracle.summary_statement(*_SUMMARY, "NM", "case_cntr between 1 and 59"),
     ),
     "latest_snapshot": Entry(
-        lambda t: reports.latest_snapshot(t["history_runs"]), _fragment("latest_snapshot", reports.SNAPSHOT_COLUMNS)
+        lambda t: reports.latest_snapshot(t["history_runs"], Staging(t.spark).stage),
+        _fragment("latest_snapshot", reports.SNAPSHOT_COLUMNS),
     ),
     # exceptions
     "gpo_contracts": Entry(_gpo_contracts, _fragment("gpo_contracts", "cont_num_tier")),

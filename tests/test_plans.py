@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from conftest import rows
 
 from casework.operators.catalog import catalog_offers, cheapest_contract, cheapest_contract_all, connected_share
 from casework.operators.enrich import attach_sales
@@ -120,3 +121,52 @@ def test_pools_of_contract_cases_are_looked_up_for_few_lines(spark, tables, monk
     batch.assign_cases(tables.inputs(), tables["history"], AS_OF, Settings(top_contracts=5), staging.stage)
     assert len(met) == 2 and staging.rows["contract_cases"] <= met[1] < met[0] / 2
     staging.clear()
+
+
+@pytest.fixture
+def own_tables(spark, tmp_path):
+    """Order lines with repeated keys, null keys and keys that meet nothing."""
+    rows = [
+        (o, p, s, n, float(q), 10.5 * n, 0.06, 0.02, "N" if n % 2 else "R", "O", f"1998-0{n}-01 00:00:00")
+        for n, (o, p, s, q) in enumerate(
+            [(1, 1, 1, 3), (1, 1, 1, 3), (2, 1, 2, 5), (None, 1, 1, 1), (2, None, 1, 1), (2, 2, 9, 1), (3, 2, 2, 4)], 1
+        )
+    ]
+    frames = {
+        "lineitem": (
+            rows + rows[:1],
+            "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate string",
+        ),
+        "orders": (
+            [(1, 7, "O", 1.0, "1998-01-01 00:00:00", "5-LOW"), (2, 8, "P", 1.0, "1998-02-01 00:00:00", "1-URGENT"), (2, 7, "F", 1.0, None, None)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string",
+        ),
+        "customer": (
+            [(7, "c7", 1, 1.0, "BUILDING"), (8, None, 2, 1.0, None)],
+            "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+        ),
+        "part": (
+            [(1, "ring", "Brand#1", "LARGE", 1, 900.0), (2, "bolt", None, "SMALL", 2, 900.1)],
+            "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+        ),
+        "supplier": ([(1, "s1", 1, 1.0), (2, None, 2, 1.0)], "s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
+    }
+    for name, (data, schema) in frames.items():
+        df = spark.createDataFrame(data, schema)
+        days = {c: df[c].cast("timestamp") for c in ("l_shipdate", "o_orderdate") if c in df.columns}
+        df.withColumns(days).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield Tables(spark, str(tmp_path))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_latest_snapshot_with_staged_days_moves_only_what_may_be_newest(spark, own_tables):
+    """The key filter stands below the joins, where the lines are read."""
+    staging = Staging(spark)
+    history = own_tables["history_runs"]
+    staged = latest_snapshot(history, staging.stage)
+    scans = [line for line in physical(staged).splitlines() if "Filter" in line and "l_shipdate" in line]
+    assert scans and all("xxhash64" in line for line in scans)
+    assert rows(staged) == rows(latest_snapshot(history)) != []
+    staging.clear()
