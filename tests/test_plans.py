@@ -13,9 +13,10 @@ from casework.operators.pools import with_pool
 from casework.operators.reports import latest_snapshot
 from casework.plans import batch
 from casework.settings import Settings
+from casework.sources import files
 from casework.sources.staging import Staging
 from casework_checks.registry import Tables
-from casework_checks.views import AS_OF
+from casework_checks.views import AS_OF, ROUNDS
 
 SF = "/root/testdata/sf0.001"
 
@@ -161,6 +162,17 @@ def own_tables(spark, tmp_path):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("name", ["history_wide", "status"])
+def test_a_wide_view_joins_its_tables_once(spark, own_tables, name):
+    staging = Staging(spark)
+    once, plain = own_tables.joined_once(name, staging), own_tables[name]
+    assert once.dtypes == plain.dtypes
+    assert rows(once) == rows(plain) != []
+    assert "Join" not in physical(once) and physical(plain).count("SortMergeJoin") >= 4
+    assert files.children(spark, staging.folder) == [f"{name}_part_{k}" for k in range(ROUNDS)]
+    staging.clear()
+
+
 def test_latest_snapshot_with_staged_days_moves_only_what_may_be_newest(spark, own_tables):
     """The key filter stands below the joins, where the lines are read."""
     staging = Staging(spark)
@@ -170,3 +182,14 @@ def test_latest_snapshot_with_staged_days_moves_only_what_may_be_newest(spark, o
     assert scans and all("xxhash64" in line for line in scans)
     assert rows(staged) == rows(latest_snapshot(history)) != []
     staging.clear()
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    """Of a run of many steps not all shuffles stay on disk."""
+
+    def on_disk():
+        return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+    before = on_disk()
+    Staging(spark, str(tmp_path)).stage(spark.range(1000).repartition(3, "id").groupBy("id").count(), "counted")
+    assert on_disk() <= before
